@@ -1,8 +1,9 @@
 """The queries of the training-data operators, and SQL for those that it can express."""
 
+from corpusloom.llm.decontamination import op8_decontamination
 from corpusloom.llm.sentencepiece_codec import op7_sentencepiece_codec
 from corpusloom.llm.substring_dedup import op1_substring_dedup
 from corpusloom.llm.token_counts import op2_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op7_sentencepiece_codec)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op7_sentencepiece_codec, op8_decontamination)}
 ORACLES: dict[str, str] = {}
