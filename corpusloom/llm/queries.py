@@ -2,8 +2,11 @@
 
 from corpusloom.llm.decontamination import op8_decontamination
 from corpusloom.llm.sentencepiece_codec import op7_sentencepiece_codec
+from corpusloom.llm.sharding import op9_sharding
+from corpusloom.llm.simhash_dedup import op4_simhash_dedup
 from corpusloom.llm.substring_dedup import op1_substring_dedup
 from corpusloom.llm.token_counts import op2_token_counts
+from corpusloom.llm.token_tables import op10_token_tables
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op7_sentencepiece_codec, op8_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op4_simhash_dedup, op7_sentencepiece_codec, op8_decontamination, op9_sharding, op10_token_tables)}
 ORACLES: dict[str, str] = {}
