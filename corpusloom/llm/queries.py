@@ -1,6 +1,7 @@
 """The queries of the training-data operators, and SQL for those that it can express."""
 
 from corpusloom.llm.decontamination import op8_decontamination
+from corpusloom.llm.knn_join import OP3_SQL, op3_knn_join
 from corpusloom.llm.sentencepiece_codec import op7_sentencepiece_codec
 from corpusloom.llm.sharding import op9_sharding
 from corpusloom.llm.simhash_dedup import op4_simhash_dedup
@@ -8,5 +9,5 @@ from corpusloom.llm.substring_dedup import op1_substring_dedup
 from corpusloom.llm.token_counts import op2_token_counts
 from corpusloom.llm.token_tables import op10_token_tables
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op4_simhash_dedup, op7_sentencepiece_codec, op8_decontamination, op9_sharding, op10_token_tables)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op3_knn_join, op4_simhash_dedup, op7_sentencepiece_codec, op8_decontamination, op9_sharding, op10_token_tables)}
+ORACLES: dict[str, str] = {"op3_knn_join": OP3_SQL}
