@@ -108,11 +108,17 @@ def _split(values: np.ndarray, low: np.ndarray, high: np.ndarray, level: np.ndar
 
 
 def _compare(values, a, a_end, b, b_end, budget):
-    """All pairs of a few small node pairs, in slices."""
+    """All pairs of a few small node pairs, in slices; of a long node (equal values), in parts."""
+    longest = np.maximum(1, (1 << 22) // np.maximum(1, b_end - b))
+    if ((a_end - a) > longest).any():
+        cut = [(x, min(x + n, e), f, g) for x, e, f, g, n in zip(a.tolist(), a_end.tolist(), b.tolist(), b_end.tolist(), longest.tolist(), strict=True) for x in range(x, e, n)]
+        a, a_end, b, b_end = (np.array(x, np.int64) for x in zip(*cut, strict=True))
     width = b_end - b
     count = (a_end - a) * width
-    for start in range(0, len(a), FRONTIER // 16):
-        part = slice(start, start + FRONTIER // 16)
+    part_of = np.cumsum(count) >> 22
+    edges = np.flatnonzero(np.concatenate(([True], part_of[1:] != part_of[:-1], [True])))
+    for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        part = slice(start, end)
         n = count[part]
         owner = np.repeat(np.arange(len(n)), n)
         k = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
@@ -142,24 +148,28 @@ class Forest:
             np.minimum.at(self.parent, np.maximum(i, j), np.minimum(i, j))
 
 
-def _linking(budget: int):
+def _linking(budget: int, sign_budget: int):
     def run(batches):
         tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
         if not tables:
             return
         table = pa.concat_tables(tables)
         kind, depth = table.column("kind").to_numpy(), table.column("depth").to_numpy()
-        turned, prints = table.column("turned").to_numpy().view(np.uint64), table.column("print").to_numpy()
+        turned, nodes = table.column("turned").to_numpy().view(np.uint64), table.column("node").to_numpy()
         order = np.lexsort((turned, kind))
-        kind, depth, turned, prints = kind[order], depth[order], turned[order], prints[order]
+        kind, depth, turned, nodes = kind[order], depth[order], turned[order], nodes[order]
+        signs = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint64).reshape(len(order), -1)[order] if sign_budget >= 0 else None
         head = turned >> (BITS - depth).astype(np.uint64)
         roots = np.flatnonzero(np.concatenate(([True], (kind[1:] != kind[:-1]) | (head[1:] != head[:-1]))))
         forest = Forest(len(turned))
         for i, j in trie_links(turned, roots, depth[roots], budget):
+            if signs is not None:
+                near = np.bitwise_count(signs[i] ^ signs[j]).sum(axis=1) <= sign_budget
+                i, j = i[near], j[near]
             forest.join(i, j)
         parent = forest.roots(np.arange(len(turned)))
         child = np.flatnonzero(parent != np.arange(len(turned)))
-        yield pa.RecordBatch.from_pydict({"a": pa.array(prints[child], pa.int64()), "b": pa.array(prints[parent[child]], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"a": pa.array(nodes[child], pa.int64()), "b": pa.array(nodes[parent[child]], pa.int64())})
 
     return run
 
@@ -186,26 +196,31 @@ def _turn(value: Column, start: int, block: tuple[int, int]) -> Column:
     return out
 
 
-def links(prints: DataFrame, count: int, budget: int, hot: int, task_rows: int = 1 << 18) -> DataFrame:
-    """Spanning links (a, b) among distinct fingerprints (column ``print``)."""
+def links(prints: DataFrame, count: int, budget: int, hot: int, sign_budget: int = -1, task_rows: int = 1 << 18) -> DataFrame:
+    """Spanning links (a, b) among the nodes of ``prints``: node, family (prints are held against
+    those of their family), print, sign. If ``sign_budget`` is not negative, the signs of linked
+    nodes differ in at most so many bits as well."""
+    ways_each = budget + 1
 
     def dealt(df: DataFrame, start: int, kind: Column) -> DataFrame:
-        ways = [F.struct((kind * (budget + 2) + k + 1).alias("kind"), F.lit(b[1] + start).alias("depth"), _turn(F.col("turned"), start, b).alias("turned")) for k, b in enumerate(_blocks(start, budget + 1))]
-        out = df.select("print", F.explode(F.array(*ways)).alias("way")).select("print", "way.*")
+        ways = [F.struct((kind * (ways_each + 1) + k + 1).cast("int").alias("kind"), F.lit(b[1] + start).alias("depth"), _turn(F.col("turned"), start, b).alias("turned")) for k, b in enumerate(_blocks(start, ways_each))]
+        out = df.select("node", "sign", F.explode(F.array(*ways)).alias("way")).select("node", "sign", "way.*")
         return out.withColumn("head", F.expr(f"shiftrightunsigned(turned, {BITS} - depth)"))
 
-    first = materialize(dealt(prints.withColumn("turned", F.col("print")), 0, F.lit(0)), "blocks")
+    first = dealt(prints.withColumn("turned", F.col("print")), 0, F.col("family"))
     crowded = materialize(first.groupBy("kind", "head").count().where(F.col("count") > hot).select("kind", "head", F.lit(True).alias("hot")), "crowded")
-    marked = first.join(crowded, ["kind", "head"], "left")
-    parts = [marked.where("hot is null").select("kind", "depth", "turned", "print", "head")]
-    for k, (_, width) in enumerate(_blocks(0, budget + 1)):
-        again = dealt(marked.where(F.col("hot") & (F.col("kind") == k + 1)).select("print", "turned"), width, F.lit(k + 1))
-        parts.append(again.select("kind", "depth", "turned", "print", "head"))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    n = pieces_for(count * (budget + 1), task_rows, max(8, int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return every.repartition(n, "kind", "head").mapInArrow(_linking(budget), "a long, b long")
+    columns = ["kind", "depth", "turned", "node", "sign", "head"]
+    if crowded.isEmpty():
+        every = first.select(*columns)
+    else:
+        first = materialize(first, "blocks")
+        marked = first.join(crowded, ["kind", "head"], "left")
+        every = marked.where("hot is null").select(*columns)
+        for k, (_, width) in enumerate(_blocks(0, ways_each)):
+            again = marked.where(F.col("hot") & (F.col("kind") % (ways_each + 1) == k + 1))
+            every = every.unionByName(dealt(again, width, F.col("kind") + 1_000_000).select(*columns))
+    n = pieces_for(count * ways_each, task_rows, max(8, int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return every.repartition(n, "kind", "head").mapInArrow(_linking(budget, sign_budget), "a long, b long")
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 5, budget: int = 2, id_col: str = "doc_id", text_col: str = "text", hot: int = 50_000) -> DataFrame:
@@ -214,12 +229,90 @@ def simhash_dedup(docs: DataFrame, shingle: int = 5, budget: int = 2, id_col: st
     given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = materialize(given.mapInArrow(_fingerprints(shingle), "id long, print long"), "prints")
     nodes = materialize(rows.groupBy(F.col("print").alias("node")).agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank")), "nodes")
-    edges = materialize(links(nodes.select(F.col("node").alias("print")), nodes.count(), budget, hot), "edges")
+    prints = nodes.select("node", F.lit(0).alias("family"), F.col("node").alias("print"), F.lit(None).cast("binary").alias("sign"))
+    edges = materialize(links(prints, nodes.count(), budget, hot), "edges")
     labels = connected_components(nodes, edges)
     whole = materialize(nodes.join(labels, "node", "left").select("node", F.coalesce("least", "rank").alias("least")), "components")
     return rows.join(whole, F.col("print") == F.col("node"), "left").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.nullif("least", F.lit(NO_ID)).alias("component_id"))
 
 
+# ---------------------------------------------------------------------------------- similarity
+
+FAMILIES, SIGN_WORDS = 8, 4
+
+
+def _majority(hashes: np.ndarray) -> int:
+    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def _variants(hashes: np.ndarray, first: int, count: int) -> list[np.ndarray]:
+    """Hashes of the same things under other seeds."""
+    out = []
+    for k in range(first, first + count):
+        x = (hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xFF51AFD7ED558CCD)
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+        out.append(x ^ (x >> np.uint64(29)))
+    return out
+
+
+class WordHash(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+def sketch(text: bytes | None, shingle: int, known: WordHash) -> tuple[list[int], bytes]:
+    """Fingerprints of the set of words under ``FAMILIES`` seeds, and a sign of 256 bits of the
+    set of shingles."""
+    words = (text or b"").lower().split()
+    if not words:
+        return [0] * FAMILIES, bytes(8 * SIGN_WORDS)
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    rolled = np.zeros(max(1, len(words) - shingle + 1), np.uint64)
+    for k in range(min(shingle, len(words))):
+        rolled = (rolled + hashes[k : k + len(rolled)]) * np.uint64(0x9E3779B97F4A7C15)
+        rolled ^= rolled >> np.uint64(31)
+    prints = [_majority(v) for v in _variants(np.unique(hashes), 1, FAMILIES)]
+    sign = [_majority(v) for v in _variants(np.unique(rolled), 101, SIGN_WORDS)]
+    return prints, np.array(sign, np.uint64).tobytes()
+
+
+def _sketching(shingle: int):
+    def run(batches):
+        known = WordHash()
+        for batch in batches:
+            text = batch.column("text").cast(pa.large_binary())
+            sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy()
+            done = [sketch(t, shingle, known) for a, b in slices(batch, sizes) for t in text.slice(a, b - a).to_pylist()]
+            prints = [np.array(p, np.uint64).view(np.int64) for p, _ in done]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), pa.array(prints, pa.list_(pa.int64())), pa.array([s for _, s in done], pa.binary())], ["id", "node", "prints", "sign"])
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", hot: int = 50_000) -> DataFrame:
+    """id and ``component_id``, where texts are linked whose sets of ``shingle``-word shingles have a
+    Jaccard similarity of ``similarity`` or more, as 256 bits of a SimHash of them tell (a cosine c
+    differs in acos(c)/pi of the bits). At that similarity single fingerprints of 64 bits differ in
+    too many bits to be found within a small budget. So candidates come from fingerprints of the
+    sets of words, which near copies nearly share: 8 of them, within 3 bits in any one."""
+    bounded_batches(docs.sparkSession)
+    text = F.lower(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text, F.octet_length(text)).alias("node"), text.alias("text"))
+    rows = materialize(given.mapInArrow(_sketching(shingle), "id long, node long, prints array<long>, sign binary"), "sketches")
+    nodes = materialize(rows.groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank"), F.first("prints").alias("prints"), F.first("sign").alias("sign")), "nodes")
+    prints = nodes.select("node", "sign", F.posexplode("prints").alias("family", "print"))
+    cosine = 2 * similarity / (1 + similarity)
+    limit = int(BITS * SIGN_WORDS * np.arccos(cosine) / np.pi)
+    edges = materialize(links(prints, FAMILIES * nodes.count(), 3, hot, limit), "edges")
+    labels = connected_components(nodes.select("node", "rank"), edges)
+    whole = materialize(nodes.join(labels, "node", "left").select("node", F.coalesce("least", "rank").alias("least")), "components")
+    return rows.select("id", "node").join(whole, "node", "left").select(F.col("id").alias(id_col), F.nullif("least", F.lit(NO_ID)).alias("component_id"))
+
+
 def op4_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     """Fingerprints and components of all ``documents``, from shingles of three words."""
     return simhash_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3)

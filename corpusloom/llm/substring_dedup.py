@@ -307,7 +307,10 @@ def _mark_words(window: int, with_text: bool):
         anchors = {h: np.unique(replies.filter(pc.equal(replies.column("hot"), pa.scalar(h))).column("anchor").to_numpy().view(np.uint64)) for h in (False, True)}
         bits = dict(zip(replies.column("key").to_pylist(), replies.column("bits").to_pylist(), strict=True))
         hashes, n_words, n_removed, digests, kept_texts = WordHashes(), [], [], [], []
-        for _, _, seg in read_segments(docs, hashes, window):
+        for begin, until, seg in read_segments(docs, hashes, window):
+            if with_text:
+                kept_texts += docs.column("text").slice(begin, until - begin).to_pylist()
+            place = len(n_words)
             edges = np.zeros(len(seg.words) + 1, np.int64)
             begins = []
             for hot, wanted in anchors.items():
@@ -328,8 +331,9 @@ def _mark_words(window: int, with_text: bool):
                 n_words.append(end - start)
                 n_removed.append(lost)
                 digests.append(hashlib.sha256(kept).hexdigest())
-                if with_text:
-                    kept_texts.append(kept.decode())
+                if with_text and lost:
+                    kept_texts[place] = kept.decode()
+                place += 1
         out = {"row": docs.column("row"), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())}
         return pa.table(out | ({"kept_text": pa.array(kept_texts, pa.string())} if with_text else {}))
 
@@ -338,7 +342,7 @@ def _mark_words(window: int, with_text: bool):
 
 def substring_dedup(docs: DataFrame, text_col: str = "text", window: int = 35, with_text: bool = False, chunk_bytes: int = CHUNK_BYTES, least_chunks: int = 64, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """Return ``row`` (a struct of the columns of ``docs`` but the text), ``n_words``, ``n_removed``,
-    ``kept_sha256`` and, if asked for, ``kept_text``. ``window`` is 2 to 64 words."""
+    ``kept_sha256`` and, if asked for, ``kept_text`` (the very text where nothing is removed). ``window`` is 2 to 64 words."""
     if not 2 <= window <= FMIndex.DEPTH:
         raise ValueError(f"window must be 2 to {FMIndex.DEPTH} words")
     bounded_batches(docs.sparkSession)
