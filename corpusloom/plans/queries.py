@@ -1,8 +1,466 @@
-"""The registered queries: name, function of (spark, sf_dir)."""
+"""The registered queries: functions of (spark, sf_dir), each with the SQL that should agree.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+``QUERIES`` and ``ORACLES`` are filled by ``@query``. Queries run over whole tables; a limit is there
+only where it is the feature (top words, greatest changes, head, row caps).
+"""
 
+from __future__ import annotations
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusloom import lexicon as L
+from corpusloom.functions import arabic as A
+from corpusloom.functions import text as X
+from corpusloom.operators import cleaning, corrections, flags, merging, profile, similarity
+from corpusloom.plans import sqltext as Q
+from corpusloom.plans.views import SQL as CORPUS
+from corpusloom.plans.views import corpus, table
+
+QUERIES: dict[str, Callable] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Callable) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _text(name: str, column: str, spark_expr: Callable, sql_expr: str | None) -> None:
+    """A query of one text function over one column of the corpus."""
+
+    def run(spark, sf_dir: str) -> DataFrame:
+        return corpus(spark, sf_dir).select("data_id", spark_expr(F.col(column)).alias("result"))
+
+    run.__name__ = name
+    query(None if sql_expr is None else f"WITH {CORPUS} SELECT data_id, {sql_expr} AS result FROM corpus")(run)
+
+
+# -------------------------------------------------------------------------- text functions
+
+_text("ws_normalize", "english", X.collapse, Q.collapse("english"))
+_text("artifact_clean", "english", X.drop_artifacts, Q.drop_artifacts("english"))
+_text("artifact_hyphenate", "english", X.hyphenate_artifacts, Q.hyphenate("english"))
+_text("html_strip", "english", X.strip_tags, Q.tags("english"))
+_text("markdown_strip", "english", X.strip_markdown, Q.markdown("english"))
+_text("url_strip", "english", X.strip_urls, Q.urls("english"))
+_text("mention_strip", "english", X.strip_mentions, Q.mentions("english"))
+_text("emoji_strip", "english", X.replace_emojis, Q.emojis("english"))
+_text("universal_cleanup", "english", X.universal_cleanup, Q.universal("english"))
+_text("punctuation_strip", "english", X.strip_punctuation, Q.punctuation("english"))
+_text("clean_english", "english", X.clean_english, Q.english("english"))
+_text("clean_english_stemmed", "english", lambda c: X.clean_english(c, stem=True), None)
+_text("expand_contractions", "english", lambda c: X.expand_contractions(F.lower(c), effective=True), None)
+_text("reduce_repeats", "darija_arabizi", X.limit_repeats, None)
+_text("isolated_digits", "darija_arabizi", X.strip_isolated_digits, None)
+_text("drop_vowels", "darija_arabizi", X.drop_vowels, "translate(darija_arabizi, 'aeiou', '')")
+_text("translit_arabizi", "darija_arabizi", X.transliterate, Q.transliterate("darija_arabizi"))
+_text("clean_arabizi", "darija_arabizi", A.clean_arabizi, None)
+_text("clean_arabizi_arabic", "darija_arabizi", lambda c: A.clean_arabizi(c, to_arabic=True, stems=True), None)
+_text("normalize_arabic", "darija_arabic", lambda c: A.normalize(c, True, True), Q.arabic("darija_arabic", True))
+_text("clean_msa", "modern_standard_arabic", A.clean_msa, Q.msa("modern_standard_arabic"))
+_text("clean_darija", "darija_arabic", A.clean_darija, Q.darija("darija_arabic"))
+_text("clean_msa_clitics_stems", "modern_standard_arabic", lambda c: A.clean_msa(c, clitics=True, stems=True), None)
+_text("clean_darija_negation", "darija_arabic", lambda c: A.clean_darija(c, clitics=True, negation=True), None)
+_text("normalize_for_similarity", "english", X.for_similarity, None)
+_text("word_counts", "english", X.word_count, f"len({Q.tokens('english')})::INT")
+_text("char_lengths", "english", X.char_length, "length(english)::INT")
+_text("detect_arabizi", "darija_arabizi", X.has_arabizi_digit, "regexp_matches(darija_arabizi, '[2379]')")
+_text("blank_cells", "english", lambda c: X.is_blank(X.drop_artifacts(c)), f"{Q.drop_artifacts('english')} = ''")
+_text("metadata_filter", "english", X.looks_like_metadata, Q.metadata("english"))
+_text("leakage_filter", "modern_standard_arabic", X.has_darija_marker, Q.marker("modern_standard_arabic"))
+_text("embedding_input", "english", lambda c: similarity.embedding_input(X.drop_artifacts(c)), f"CASE WHEN {Q.drop_artifacts('english')} = '' THEN '[empty]' ELSE {Q.drop_artifacts('english')} END")
+
+
+@query("SELECT page_id, replace(replace(replace(replace(html, '&amp;', '&'), '&copy;', '©'), '&middot;', '·'), '&quot;', '\"') AS result FROM pages")
+def html_unescape(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", X.unescape_html(F.col("html")).alias("result"))
+
+
+_PLACE = Q.placeholders("darija_arabic", L.PLACEHOLDERS["darija_arabic"])
+
+
+@query(f"WITH {CORPUS} SELECT data_id, {_PLACE[0]} AS result, ({_PLACE[1]})::INT AS removed FROM corpus")
+def placeholder_removal(spark, sf_dir):
+    text, n = X.strip_placeholders(F.col("darija_arabic"), L.PLACEHOLDERS["darija_arabic"])
+    return corpus(spark, sf_dir).select("data_id", text.alias("result"), n.alias("removed"))
+
+
+_REPEAT = Q.repeats("words")
+
+
+@query(f"WITH {CORPUS}, t AS (SELECT data_id, {Q.tokens('english')} AS words FROM corpus) SELECT data_id, {_REPEAT[0]} AS result, ({_REPEAT[1]})::INT AS removed FROM t")
+def dup_token_collapse(spark, sf_dir):
+    text, n = X.collapse_repeats(F.col("english"))
+    return corpus(spark, sf_dir).select("data_id", text.alias("result"), n.alias("removed"))
+
+
+# -------------------------------------------------------------------------- cleaning
+
+_BASE = {"english": Q.english(Q.universal("english")), "modern_standard_arabic": Q.msa(Q.universal("modern_standard_arabic")), "darija_arabic": Q.darija(Q.universal("darija_arabic"))}
+
+
+def _english_corpus(spark, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).withColumn("english", X.clean_english(X.universal_cleanup(F.col("english"))))
+
+
+_TOP = f"""WITH {CORPUS}, w AS (
+  SELECT row_index, unnest(t) AS word, generate_subscripts(t, 1) AS pos FROM (SELECT row_index, {Q.tokens(_BASE['english'])} AS t FROM corpus)
+) SELECT word, count(*) AS count FROM w GROUP BY word ORDER BY count DESC, min(row_index * 10000000 + pos) LIMIT 100"""
+
+
+@query(_TOP)
+def top_words(spark, sf_dir):
+    return cleaning.top_words(_english_corpus(spark, sf_dir).where("english <> ''"), "english", "row_index")
+
+
+def flagship(spark, sf_dir: str) -> DataFrame:
+    return top_words(spark, sf_dir)
+
+
+@query()
+def clean_corpus(spark, sf_dir):
+    """Cleaned rows that stay. (Isolated digits and repeats need look-around: no SQL.)"""
+    return cleaning.kept(cleaning.clean_corpus(corpus(spark, sf_dir)).persist())
+
+
+@query()
+def clean_stage_counts(spark, sf_dir):
+    return profile.retention(cleaning.stage_counts(cleaning.clean_corpus(corpus(spark, sf_dir))))
+
+
+@query()
+def top_words_darija(spark, sf_dir):
+    return cleaning.top_words_before_empty(cleaning.clean_corpus(corpus(spark, sf_dir)), "darija_arabic", "row_index")
+
+
+_REASONS = f"""WITH {CORPUS}, c AS (SELECT data_id, status, {_BASE['english']} AS e, {_BASE['modern_standard_arabic']} AS m, {_BASE['darija_arabic']} AS d FROM corpus)
+SELECT data_id, CASE WHEN {Q.metadata('e')} THEN 'metadata' WHEN {Q.marker('m')} THEN 'leakage' WHEN upper(coalesce(status, '')) = 'ERROR' THEN 'status' WHEN e = '' OR m = '' OR d = '' THEN 'empty' END AS drop_reason FROM c"""
+
+
+@query(_REASONS)
+def drop_reasons(spark, sf_dir):
+    """Three of the four columns, whose cleaning SQL can express."""
+    o = cleaning.CleaningOptions()
+    columns = cleaning.cleaned_columns(o)
+    columns["darija_arabizi"] = F.lit("x")
+    df = corpus(spark, sf_dir).withColumns(columns)
+    return df.select("data_id", cleaning.drop_reason(df, o).alias("drop_reason"))
+
+
+@query(f"WITH {CORPUS} SELECT data_id, status FROM corpus WHERE upper(coalesce(status, '')) <> 'ERROR'")
+def status_filter(spark, sf_dir):
+    return corpus(spark, sf_dir).where(F.upper(X.as_text(F.col("status"))) != "ERROR").select("data_id", "status")
+
+
+# -------------------------------------------------------------------------- inferred flags
+
+_CH = "list_filter([" + ", ".join(f"length({c})" for c in L.TARGETS) + "], lambda n: n >= 3)"
+_WD = "list_filter([" + ", ".join(f"CASE WHEN length({c}) >= 3 THEN len({Q.tokens(c)}) END" for c in L.TARGETS) + "], lambda n: n > 0)"
+_ISSUES = f"""list_filter([CASE WHEN regexp_matches(darija_arabic, '[A-Za-z]') THEN 'darija_arabic_contains_latin' END,
+ CASE WHEN regexp_matches(modern_standard_arabic, '[A-Za-z]') THEN 'msa_contains_latin' END,
+ CASE WHEN regexp_matches(darija_arabizi, '[\\x{{600}}-\\x{{6FF}}]') THEN 'arabizi_contains_arabic' END,
+ CASE WHEN coalesce(list_max(ch) > 8.0 * list_min(ch), false) OR coalesce(list_max(wd) > 6.0 * list_min(wd), false) THEN 'length_discrepancy' END], lambda x: x IS NOT NULL)"""
+_OUT = " OR ".join(f"len({Q.tokens(c)}) NOT BETWEEN 1 AND 1000" for c in L.TARGETS)
+_FLAGGED = f"WITH {CORPUS}, f AS (SELECT *, {_CH} AS ch, {_WD} AS wd FROM corpus), r AS (SELECT data_id, {_ISSUES} AS issues, ({_OUT}) AS gone FROM f)"
+
+
+@query(f"{_FLAGGED} SELECT data_id, array_to_string(issues, ';') AS issues, CASE WHEN gone THEN 'REMOVED' WHEN len(issues) > 0 THEN 'FLAGGED' ELSE 'CLEAN' END AS row_status FROM r")
+def row_flags(spark, sf_dir):
+    return flags.flag_rows(corpus(spark, sf_dir), coherence=False).select("data_id", F.array_join("issues", ";").alias("issues"), "row_status")
+
+
+@query(f"{_FLAGGED} SELECT CASE WHEN gone THEN 'REMOVED' WHEN len(issues) > 0 THEN 'FLAGGED' ELSE 'CLEAN' END AS value, count(*) AS count FROM r GROUP BY 1")
+def row_status_rollup(spark, sf_dir):
+    return profile.value_counts(flags.flag_rows(corpus(spark, sf_dir), coherence=False), "row_status")
+
+
+# -------------------------------------------------------------------------- profiles
+
+_LEN = "WITH d AS (SELECT *, length(text) AS n FROM documents)"
+
+
+def _lengths(spark, sf_dir):
+    return table(spark, sf_dir, "documents").withColumn("n", F.char_length("text"))
+
+
+@query(f"{_LEN} SELECT lang, round(avg(n), 2) AS mean, round(median(n), 2) AS median, round(quantile_cont(n, 0.95), 2) AS p95, max(n)::DOUBLE AS max FROM d GROUP BY lang")
+def length_stats(spark, sf_dir):
+    return profile.length_stats(_lengths(spark, sf_dir), "n", "lang")
+
+
+@query(f"{_LEN}, b AS (SELECT lang, min(n) AS low, max(n) AS high FROM d GROUP BY lang) SELECT lang, CASE WHEN high > low THEN least(floor((n - low) / ((high - low) / 30.0)), 29) ELSE 0 END::INT AS bin, count(*) AS count FROM d JOIN b USING (lang) GROUP BY 1, 2")
+def hist_lengths(spark, sf_dir):
+    return profile.histogram(_lengths(spark, sf_dir), "n", 30, "lang")
+
+
+@query(f"{_LEN}, q AS (SELECT lang, quantile_cont(n, 0.25) AS q1, quantile_cont(n, 0.5) AS median, quantile_cont(n, 0.75) AS q3 FROM d GROUP BY lang) SELECT lang, any_value(q1) AS q1, any_value(median) AS median, any_value(q3) AS q3, min(n)::INT AS whisker_low, max(n)::INT AS whisker_high FROM d JOIN q USING (lang) WHERE n BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) GROUP BY lang")
+def boxplot_lengths(spark, sf_dir):
+    return profile.boxplot(_lengths(spark, sf_dir), "n", "lang")
+
+
+@query(f"WITH {CORPUS}, d AS (SELECT classe, len({Q.tokens('english')}) AS n FROM corpus) SELECT classe, round(avg(n), 2) AS mean, trunc(median(n))::INT AS median, min(n)::INT AS min, max(n)::INT AS max, round(stddev_samp(n), 2) AS std FROM d GROUP BY classe")
+def word_count_stats(spark, sf_dir):
+    return profile.word_count_stats(corpus(spark, sf_dir).withColumn("n", X.word_count(F.col("english"))), "n", "classe")
+
+
+@query(f"WITH {CORPUS} SELECT coalesce(status, '<NA>') AS value, count(*) AS count FROM corpus GROUP BY 1")
+def value_counts(spark, sf_dir):
+    return profile.value_counts(corpus(spark, sf_dir), "status")
+
+
+@query(f"WITH {CORPUS}, c AS (SELECT coalesce(status, '<NA>') AS value, count(*) AS count FROM corpus GROUP BY 1) SELECT value, count, printf('%.1f%%', 100.0 * count / sum(count) OVER ()) AS percentage FROM c")
+def flag_pct(spark, sf_dir):
+    return profile.shares(profile.value_counts(corpus(spark, sf_dir), "status"))
+
+
+@query("SELECT count(*) AS rows, 3 AS columns, count(*) - (SELECT count(*) FROM (SELECT DISTINCT lang, source, text FROM documents)) AS duplicated_rows, count(DISTINCT text) AS unique_ids, count(*) - count(DISTINCT text) AS duplicated_ids FROM documents")
+def dataset_summary(spark, sf_dir):
+    return profile.dataset_summary(table(spark, sf_dir, "documents").select("lang", "source", "text"), "text")
+
+
+def _missing_sql(columns) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS column, sum(({c} IS NULL)::INT) AS source, sum((status IS NULL OR status = 'GENERATED' OR {c} IS NULL)::INT) AS cleaned FROM corpus" for c in columns)
+
+
+def _nulled(spark, sf_dir, columns):
+    gone = F.coalesce(F.col("status") == "GENERATED", F.lit(True))
+    return corpus(spark, sf_dir).select(*[F.when(~gone, F.col(c)).alias(c) for c in columns])
+
+
+@query(f"WITH {CORPUS}, m AS ({_missing_sql(('classe', 'status', 'english'))}) SELECT \"column\", source::BIGINT AS source, cleaned::BIGINT AS cleaned, (cleaned - source)::BIGINT AS delta FROM m")
+def missing_delta(spark, sf_dir):
+    columns = ("classe", "status", "english")
+    return profile.missing_delta(corpus(spark, sf_dir).select(*columns), _nulled(spark, sf_dir, columns))
+
+
+@query("SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS left_unique, (SELECT count(DISTINCT doc_id) FROM labels) AS right_unique, (SELECT count(*) FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels)) AS both, (SELECT count(*) FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels)) AS left_only, (SELECT count(*) FROM (SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents)) AS right_only")
+def id_overlap(spark, sf_dir):
+    return profile.id_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+_CHANGE = f"WITH {CORPUS}, c AS (SELECT english AS a, {_BASE['english']} AS b, darija_arabic AS x, {_BASE['darija_arabic']} AS y FROM corpus)"
+_RATE = "sum(({a} <> {b})::INT)::BIGINT AS changed_rows, count(*) AS compared_rows, round(100.0 * sum(({a} <> {b})::INT) / count(*), 2) AS change_rate FROM c"
+
+
+@query(f"{_CHANGE} SELECT 'english' AS \"column\", {_RATE.format(a=Q.collapse('a'), b=Q.collapse('b'))} UNION ALL SELECT 'darija_arabic', {_RATE.format(a=Q.collapse('x'), b=Q.collapse('y'))}")
+def change_rate(spark, sf_dir):
+    base = corpus(spark, sf_dir).select("row_index", "data_id", "english", "darija_arabic")
+    o = cleaning.cleaned_columns(cleaning.CleaningOptions())
+    after = base.withColumns({c: o[c] for c in ("english", "darija_arabic")})
+    return profile.change_rates(profile.compare(base, after, "data_id", "row_index"), ("english", "darija_arabic"))
+
+
+@query(f"WITH {CORPUS} SELECT a.data_id AS source_data_id, b.data_id AS cleaned_data_id, a.classe AS source_classe FROM (SELECT classe, arg_min(data_id, row_index) AS data_id FROM corpus GROUP BY classe) a JOIN (SELECT classe, arg_min(data_id, row_index) AS data_id FROM corpus WHERE row_index > 10 GROUP BY classe) b ON a.classe IS NOT DISTINCT FROM b.classe")
+def compare_null_keys(spark, sf_dir):
+    """First rows of each class of two tables; a null class matches a null class."""
+    df = corpus(spark, sf_dir).select("classe", "data_id", "row_index")
+    return profile.compare(df, df.where("row_index > 10"), "classe", "row_index").select("source_data_id", "cleaned_data_id", "source_classe")
+
+
+@query(f"WITH {CORPUS} SELECT a.data_id AS source_data_id, b.data_id AS cleaned_data_id FROM corpus a JOIN corpus b ON a.row_index = b.row_index WHERE b.row_index % 3 = 0")
+def compare_by_position(spark, sf_dir):
+    df = corpus(spark, sf_dir).select("row_index", "data_id")
+    return profile.compare_by_position(df, df.where("row_index % 3 = 0")).select("source_data_id", "cleaned_data_id")
+
+
+@query(f"WITH {CORPUS}, a AS (SELECT coalesce(status, '<NA>') AS value, count(*) AS n FROM corpus GROUP BY 1), b AS (SELECT upper(coalesce(status, '<NA>')) AS value, count(*) AS n FROM corpus GROUP BY 1) SELECT coalesce(a.value, b.value) AS value, coalesce(a.n, 0) AS source, coalesce(b.n, 0) AS cleaned FROM a FULL JOIN b ON a.value = b.value")
+def compare_outer(spark, sf_dir):
+    df = corpus(spark, sf_dir)
+    return profile.outer_counts(profile.value_counts(df, "status"), profile.value_counts(df.withColumn("status", F.upper("status")), "status"))
+
+
+@query(f"WITH {CORPUS}, m AS (SELECT lang, count(*)::DOUBLE AS n, round(avg(length(english)), 4) AS l FROM corpus WHERE lang IN ('en', 'fr') GROUP BY lang) SELECT 'rows' AS metric, max(n) FILTER (lang = 'en') AS en, max(n) FILTER (lang = 'fr') AS fr FROM m UNION ALL SELECT 'mean_length', max(l) FILTER (lang = 'en'), max(l) FILTER (lang = 'fr') FROM m")
+def metric_pivot(spark, sf_dir):
+    df = corpus(spark, sf_dir)
+    metrics = {"rows": F.count("*"), "mean_length": F.round(F.avg(F.char_length("english")), 4)}
+    return profile.metric_pivot({x: df.where(F.col("lang") == x) for x in ("en", "fr")}, metrics)
+
+
+@query()
+def multi_dataset_summary(spark, sf_dir):
+    df = corpus(spark, sf_dir)
+    return profile.multi_summary({x: df.where(F.col("lang") == x) for x in ("en", "fr", "de", "es")}, "status")
+
+
+@query(f"WITH {CORPUS} SELECT coalesce(classe, 'UNKNOWN') AS value, count(*) AS total, sum((english <> {Q.collapse('english')})::INT)::BIGINT AS corrected, 0::BIGINT AS errors FROM corpus GROUP BY 1")
+def group_totals(spark, sf_dir):
+    return profile.group_totals(corpus(spark, sf_dir), "classe", F.col("english") != X.collapse(F.col("english")))
+
+
+@query(f"WITH {CORPUS} SELECT lang AS shard, status, count(*) AS rows, CASE WHEN grouping(lang) = 1 THEN 3 WHEN grouping(status) = 1 THEN 1 ELSE 0 END::INT AS level FROM corpus GROUP BY ROLLUP (lang, status)")
+def shard_totals(spark, sf_dir):
+    return profile.shard_totals(corpus(spark, sf_dir).withColumnRenamed("lang", "shard"), "shard", "status")
+
+
+_BLANKS = ", ".join(f"count_if({Q.collapse(c)} = '') AS blank_{c}" for c in L.TARGETS)
+
+
+@query(f"WITH {CORPUS} SELECT count(*) AS rows, count_if(regexp_matches(darija_arabizi, '[2379]')) AS arabizi_digits, {_BLANKS} FROM corpus")
+def anomaly_counts(spark, sf_dir):
+    return profile.anomalies(corpus(spark, sf_dir))
+
+
+@query("SELECT event_type, round(avg(CAST(props->>'$.k' AS DOUBLE)), 4) AS mean_k, count(*) AS n FROM events GROUP BY event_type")
+def report_values(spark, sf_dir):
+    got = profile.report_values(table(spark, sf_dir, "events").select("event_type", "props"), "props", ["k"])
+    return got.groupBy("event_type").agg(F.round(F.avg("k"), 4).alias("mean_k"), F.count("*").alias("n"))
+
+
+# -------------------------------------------------------------------------- similarity
+
+_MIX = "list_transform(range(1, len(a) + 1), lambda i: w * a[i] + (1 - w) * b[i])"
+_COS = "(list_sum(list_transform(range(1, len({x}) + 1), lambda i: {x}[i] * {y}[i])) / (sqrt(list_sum(list_transform({x}, lambda v: v * v))) * sqrt(list_sum(list_transform({y}, lambda v: v * v)))))"
+_VECTORS = f"""v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+p AS (SELECT x.vec_id, x.e AS a, y.e AS b, (x.vec_id % 5) * 0.25 AS w FROM v x JOIN v y ON y.vec_id = (x.vec_id + 7) % (SELECT count(*) FROM v)),
+m AS (SELECT vec_id, a, b, {_MIX} AS c FROM p),
+s AS (SELECT vec_id, {_COS.format(x='a', y='c')} AS da_en, {_COS.format(x='c', y='b')} AS en_msa, {_COS.format(x='b', y='a')} AS az_da FROM m),
+t AS (SELECT *, (da_en + en_msa + az_da) / 3 AS score FROM s)"""
+
+
+def _vectors(spark, sf_dir: str) -> DataFrame:
+    """Four vectors a row: a mixture of a vector and another, by a weight from the id."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("a"))
+    n = v.agg(F.count("*").alias("n"))
+    other = v.select(F.col("vec_id").alias("other"), F.col("a").alias("b"))
+    pairs = v.crossJoin(F.broadcast(n)).withColumn("other", (F.col("vec_id") + 7) % F.col("n")).join(other, "other")  # one row of n
+    w = (F.col("vec_id") % 5) * 0.25
+    return pairs.select("vec_id", "a", "b", F.zip_with("a", "b", lambda x, y: w * x + (1 - w) * y).alias("c"))
+
+
+def _scored(spark, sf_dir: str) -> DataFrame:
+    return similarity.pair_scores(_vectors(spark, sf_dir), {"darija_arabic": "a", "english": "c", "modern_standard_arabic": "b", "darija_arabizi": "b"}, 4)
+
+
+@query(f"WITH {_VECTORS} SELECT vec_id, round(da_en, 4) + 0.0 AS similarity_da_en, round(en_msa, 4) + 0.0 AS similarity_en_msa, round(az_da, 4) + 0.0 AS similarity_arabizi_da, round(score, 4) + 0.0 AS similarity_score FROM t")
+def pair_cosine(spark, sf_dir):
+    return _scored(spark, sf_dir).select("vec_id", "similarity_da_en", "similarity_en_msa", "similarity_arabizi_da", "similarity_score")
+
+
+_FLAG = "CASE WHEN round(score, 4) >= 0.5 THEN 'CONSISTENT' WHEN round(score, 4) >= 0.4 THEN 'SUSPICIOUS' WHEN vec_id % 3 = 0 THEN 'CORRECTED' WHEN vec_id % 3 = 1 THEN 'CONSISTENT' ELSE 'SUSPICIOUS' END"
+
+
+def _classified(spark, sf_dir: str) -> DataFrame:
+    df = _scored(spark, sf_dir)
+    df = df.withColumns(similarity.classify(F.col("similarity_score"), 0.5, 0.4, 0.3))
+    return df.withColumn("consistency_flag", similarity.consistency_flag(F.col("suspicious"), F.col("ask_model"), F.col("vec_id") % 3 == 0, F.col("vec_id") % 3 == 1))
+
+
+@query(f"WITH {_VECTORS} SELECT vec_id, {_FLAG} AS consistency_flag, round(score, 4) < 0.3 AS low_similarity FROM t")
+def consistency_classify(spark, sf_dir):
+    return _classified(spark, sf_dir).select("vec_id", "consistency_flag", "low_similarity")
+
+
+@query(f"WITH {_VECTORS} SELECT count(*) AS rows, count_if(round(score, 4) < 0.3) AS low, count_if({_FLAG} = 'CORRECTED') AS corrected, count_if(round(score, 4) < 0.5) AS suspicious FROM t")
+def low_similarity(spark, sf_dir):
+    return profile.conditional_counts(_classified(spark, sf_dir), {"low": F.col("low_similarity"), "corrected": F.col("consistency_flag") == "CORRECTED", "suspicious": F.col("suspicious")})
+
+
+@query(f"WITH {_VECTORS}, u AS (SELECT {_FLAG} AS flag, round(score, 4) AS x FROM t) SELECT flag AS consistency_flag, count(*) AS count, round(avg(x), 4) AS mean, round(median(x), 4) AS median, round(stddev_samp(x), 4) AS std, min(x) AS min, max(x) AS max FROM u GROUP BY flag")
+def similarity_stats(spark, sf_dir):
+    return profile.spread_stats(_classified(spark, sf_dir), "similarity_score", "consistency_flag")
+
+
+# -------------------------------------------------------------------------- merges and resumption
+
+_HALVES = f"""WITH {CORPUS}, f AS (SELECT data_id, arg_max(english, row_index) AS english FROM (SELECT data_id, 'first ' || classe AS english, row_index FROM corpus WHERE doc_id % 3 = 0) GROUP BY data_id),
+l AS (SELECT data_id, 'last ' || lang AS english FROM corpus WHERE doc_id % 4 = 0)"""
+
+
+def _halves(spark, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    base = corpus(spark, sf_dir)
+    first = base.where("doc_id % 3 = 0").select("data_id", "row_index", F.expr("'first ' || classe").alias("english"))
+    last = base.where("doc_id % 4 = 0").select("data_id", "row_index", F.expr("'last ' || lang").alias("english"))
+    return base.select("row_index", "data_id", "english"), first, last
+
+
+@query(f"{_HALVES} SELECT c.data_id, CASE WHEN row_index <= 500 AND f.data_id IS NOT NULL THEN f.english WHEN row_index > 500 AND l.data_id IS NOT NULL THEN l.english ELSE c.english END AS english, CASE WHEN row_index <= 500 AND f.data_id IS NOT NULL THEN 'first' WHEN row_index > 500 AND l.data_id IS NOT NULL THEN 'last' ELSE 'fallback' END AS merge_source FROM corpus c LEFT JOIN f USING (data_id) LEFT JOIN l USING (data_id)")
+def gold_merge(spark, sf_dir):
+    base, first, last = _halves(spark, sf_dir)
+    return merging.merge_halves(base, first, last, "data_id", 500, ["english"]).drop("row_index")
+
+
+@query(f"{_HALVES} SELECT 'first' AS half, count(*) AS expected, count(f.data_id) AS matched FROM corpus LEFT JOIN f USING (data_id) WHERE row_index <= 500 UNION ALL SELECT 'last', count(*), count(l.data_id) FROM corpus LEFT JOIN l USING (data_id) WHERE row_index > 500")
+def match_counts(spark, sf_dir):
+    return merging.match_counts(*_halves(spark, sf_dir), "data_id", 500).select("half", F.col("expected").cast("long").alias("expected"), F.col("matched").cast("long").alias("matched"))
+
+
+@query("SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN l.quality::INT ELSE -1 END AS quality, l.doc_id IS NOT NULL AS updated FROM documents d LEFT JOIN labels l USING (doc_id)")
+def upsert_rechecked(spark, sf_dir):
+    base = table(spark, sf_dir, "documents").select("doc_id", F.lit(-1).alias("quality"))
+    return merging.upsert(base, table(spark, sf_dir, "labels"), "doc_id", ["quality"])
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def resume_anti(spark, sf_dir):
+    return merging.pending(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id").select("doc_id")
+
+
+_SKIP = f"""WITH {CORPUS}, r AS (SELECT data_id, row_index, CASE WHEN row_index < 11 THEN 'before_start' WHEN row_index > 900 THEN 'after_end' WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'checkpoint' WHEN coalesce(status, '') <> 'GENERATED' THEN 'status' END AS reason FROM corpus),
+o AS (SELECT row_index FROM r WHERE reason IS NULL ORDER BY row_index LIMIT 50)
+SELECT data_id, CASE WHEN reason IS NOT NULL THEN reason WHEN row_index NOT IN (SELECT row_index FROM o) THEN 'max_rows' END AS skip_reason FROM r"""
+
+
+@query(_SKIP)
+def eligibility_reasons(spark, sf_dir):
+    return merging.skip_reasons(corpus(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id", 11, 900, "GENERATED", 50).select("data_id", "skip_reason")
+
+
+@query(f"WITH {CORPUS} SELECT data_id, CASE WHEN row_index < 11 OR row_index > 900 THEN 'outside_selected_range' WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'checkpoint' END AS skip_reason FROM corpus")
+def range_reasons(spark, sf_dir):
+    return merging.range_reasons(corpus(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id", 11, 900).select("data_id", "skip_reason")
+
+
+@query(f"WITH {CORPUS} SELECT data_id FROM corpus WHERE row_index <= 100")
+def head_rows(spark, sf_dir):
+    return merging.head(corpus(spark, sf_dir), 100).select("data_id")
+
+
+@query(f"WITH {CORPUS} SELECT data_id, id, coalesce(classe, '') AS classe, {Q.strip('darija_arabic')} AS darija_arabic, {Q.strip('darija_arabizi')} AS darija_arabizi, {Q.strip(chr(39) + 'fixed ' + chr(39) + ' || english')} AS english, {Q.strip('modern_standard_arabic')} AS modern_standard_arabic, english_word_count, 'VALIDATED' AS status FROM corpus")
+def label_rows_to_canonical(spark, sf_dir):
+    df = corpus(spark, sf_dir).withColumns({"corrected_english": F.concat(F.lit("fixed "), "english"), "corrected_msa": F.lit("")})
+    return merging.canonical_from_labels(df)
+
+
+# -------------------------------------------------------------------------- model corrections
+
+_ANSWER = "CASE WHEN doc_id % 4 = 0 THEN '{\"english\": {\"corrected\": \" Better @-@ text \", \"issues\": \"typo\"}, \"global_notes\": \"n\"}' WHEN doc_id % 4 = 1 THEN '{\"darija_arabizi\": {\"corrected\": \"\", \"issues\": [\"a\", \"b\"]}}' WHEN doc_id % 4 = 2 THEN 'no json' ELSE NULL END"
+_ADOPT = f"""WITH {CORPUS} SELECT data_id, CASE WHEN doc_id % 4 = 0 THEN 'Better - text' ELSE {Q.strip('english')} END AS english,
+ CASE WHEN doc_id % 4 = 0 AND 'Better - text' <> {Q.strip('english')} THEN 'english' ELSE '' END AS changed_fields,
+ CASE WHEN doc_id % 4 < 2 THEN 'VALIDATED' ELSE 'ERROR' END AS status,
+ CASE doc_id % 4 WHEN 0 THEN 'english: typo; n' WHEN 1 THEN 'darija_arabizi: a, b' WHEN 2 THEN 'ERROR:ParseError' ELSE 'ERROR:Timeout' END AS qc_notes FROM corpus"""
+
+
+@query(_ADOPT)
+def llm_apply(spark, sf_dir):
+    df = corpus(spark, sf_dir)
+    answers = df.select("data_id", F.expr(_ANSWER).alias("response"), F.when(F.col("doc_id") % 4 == 3, "Timeout").alias("error"))
+    done = corrections.outcome(corrections.adopt(corrections.parse_answer(df.join(answers, "data_id", "left"))))
+    return done.select("data_id", "english", "changed_fields", "status", "qc_notes")
+
+
+@query(f"WITH {CORPUS} SELECT floor((row_index - 1) / 10)::BIGINT AS batch, count(*)::INT AS rows FROM corpus GROUP BY 1")
+def llm_batches(spark, sf_dir):
+    return corrections.batches(corpus(spark, sf_dir), "data_id").select("batch", "rows")
+
+
+@query(f"WITH {CORPUS} SELECT data_id, 'fixed ' || ((row_index - 1) % 10)::VARCHAR AS fixed FROM corpus WHERE (row_index - 1) % 10 < 7")
+def llm_zip(spark, sf_dir):
+    """Answers of seven elements to batches of ten: the last three rows of each are lost."""
+    df = corpus(spark, sf_dir).select("data_id", "row_index")
+    array = "[" + ", ".join(f'{{"english": "fixed {k}"}}' for k in range(7)) + "]"
+    answers = df.select(F.floor((F.col("row_index") - 1) / 10).alias("batch")).distinct().withColumn("response", F.lit(f"Sure: {array} done"))
+    return corrections.zip_batches(df, answers).select("data_id", F.col("answer.english").alias("fixed"))
+
+
+@query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN round(length(text) / 1e6 * 0.4 + 100 / 1e6 * 1.6, 6) ELSE round(length(text) / 1e6 * 0.15 + 100 / 1e6 * 0.6, 6) END AS cost FROM conversations")
+def cost_estimate(spark, sf_dir):
+    model = F.when(F.col("role") == "user", "gpt-4.1-mini").otherwise("unknown")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", similarity.cost(F.char_length("text"), F.lit(100), model).alias("cost"))
