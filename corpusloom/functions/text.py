@@ -12,6 +12,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import lexicon as L
 
@@ -64,7 +65,7 @@ def hyphenate_artifacts(c: Column) -> Column:
     return sub(c, f"^{W}+|{W}+$", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: html.unescape(t) if t and "&" in t else t)
 
@@ -230,7 +231,7 @@ def has_darija_marker(c: Column) -> Column:
     return F.arrays_overlap(tokens(c), F.array(*[F.lit(w) for w in L.DARIJA_MARKERS]))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _porter(texts: pd.Series) -> pd.Series:
     from corpusloom.functions.porter import stem
 

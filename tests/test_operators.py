@@ -1,0 +1,113 @@
+"""Operators on small tables: accounting, precedence, merges, null keys, answers of a model."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom.operators import cleaning, corrections, flags, merging, profile, similarity
+from corpusloom.sources import readers, sinks
+
+
+def test_cleaning_accounts_for_every_row(spark):
+    df = readers.demo_corpus(spark).withColumns({"status": F.when(F.col("row_index") == 2, "error"), "english_word_count": F.lit("4")})
+    done = cleaning.clean_corpus(df).persist()
+    reasons = {r["row_index"]: r["drop_reason"] for r in done.collect()}
+    assert reasons == {1: None, 2: "status", 3: "empty"}
+    counts = cleaning.stage_counts(done).first()
+    assert counts["input_rows"] == 3 == counts["output_rows"] + counts["dropped_status"] + counts["dropped_empty"]
+    row = cleaning.kept(done).first()
+    assert row["english"] == "short row see" and row["english_word_count"] == 3 and row["darija_arabizi"] == "hada mital"
+
+
+def test_top_words_break_ties_by_first_place(spark):
+    df = spark.createDataFrame([(1, "b a"), (2, "a b c")], "i int, t string")
+    assert [tuple(r) for r in cleaning.top_words(df, "t", "i").collect()] == [("b", 2), ("a", 2), ("c", 1)]
+
+
+def test_missing_columns_raise(spark):
+    with pytest.raises(ValueError):
+        cleaning.clean_corpus(spark.range(1))
+
+
+def test_skip_reasons_in_order(spark):
+    df = spark.createDataFrame([(i, f"k{i}", s) for i, s in enumerate(["A", "A", "B", "A", "A", "A"], 1)], "row_index long, k string, status string")
+    seen = spark.createDataFrame([("k2",), ("k2",)], "k string")
+    got = {r["row_index"]: r["skip_reason"] for r in merging.skip_reasons(df, seen, "k", 2, 5, "a", 1).collect()}
+    assert got == {1: "before_start", 2: "checkpoint", 3: "status", 4: None, 5: "max_rows", 6: "after_end"}
+
+
+def test_halves_last_row_wins(spark):
+    base = spark.createDataFrame([(1, "a", "0"), (2, "b", "0"), (3, "c", "0"), (4, "d", "0")], "row_index int, k string, v string")
+    first = spark.createDataFrame([(1, "a", "1"), (2, "a", "2")], "row_index int, k string, v string")
+    last = spark.createDataFrame([(1, "c", "9")], "row_index int, k string, v string")
+    got = merging.merge_halves(base, first, last, "k", 2, ["v"]).orderBy("row_index").collect()
+    assert [(r["v"], r["merge_source"]) for r in got] == [("2", "first"), ("0", "fallback"), ("9", "last"), ("0", "fallback")]
+    assert merging.merge_halves(base, first, last, "k", 2, ["v"], first_fallback=False).count() == 3
+
+
+def test_null_keys_match(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, None, "y"), (3, "k", "z")], "i int, k string, v string")
+    assert {(r["source_v"], r["cleaned_v"]) for r in profile.compare(df, df, "k", "i").collect()} == {("x", "x"), ("z", "z")}
+
+
+def test_zero_vectors_and_strict_thresholds(spark):
+    df = spark.createDataFrame([([0.0, 0.0], [1.0, 0.0], 0.8), ([1.0, 1.0], [1.0, 0.0], 0.5)], "a array<double>, b array<double>, s double")
+    rows = df.select(similarity.cosine(F.col("a"), F.col("b")).alias("c"), *[v.alias(k) for k, v in similarity.classify(F.col("s")).items()]).collect()
+    assert rows[0]["c"] == 0.0 and abs(rows[1]["c"] - 0.5**0.5) < 1e-12
+    assert not rows[0]["suspicious"] and rows[1]["suspicious"] and not rows[1]["low_similarity"]
+    with pytest.raises(ValueError):
+        similarity.classify(F.lit(1.0), 0.5, 0.6)
+
+
+def test_provider_retries_then_reports(spark):
+    df = corrections.requests(readers.demo_corpus(spark).coalesce(1), "row_index")
+
+    def provider(prompts):
+        if any("ROW" in p for _, p in prompts):
+            raise TimeoutError
+        return [json.dumps({"english": {"corrected": "new", "issues": "x"}}) for _ in prompts]
+
+    got = {r["row_index"]: (r["response"], r["error"]) for r in corrections.ask(df, provider, "row_index", retries=1, base_seconds=0.01, requests_a_minute=1e6, rows_a_call=1).collect()}
+    assert got[2] == (None, "TimeoutError") and "new" in got[1][0]
+
+
+def test_flags(spark):
+    df = readers.demo_corpus(spark)
+    rows = {r["row_index"]: r for r in flags.flag_rows(df).collect()}
+    assert rows[1]["row_status"] == "FLAGGED" and "darija_arabic_contains_latin" in rows[1]["issues"]
+
+
+def test_csv_round_trip_and_na(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a "q"\nb', "null", "")], "row_index int, x string, y string, z string")
+    sinks.write_csv(df, f"file://{tmp_path}/c", ["x", "y", "z"], "row_index", single=True)
+    back = readers.read_csv(spark, f"file://{tmp_path}/c").first()
+    assert (back["x"], back["y"], back["z"]) == ('a "q"\nb', "null", "")
+    back = readers.read_csv_na(spark, f"file://{tmp_path}/c").first()
+    assert back["y"] is None and back["z"] is None
+
+
+def test_jsonl_last_wins(spark, tmp_path):
+    (tmp_path / "c.jsonl").write_text('{"k": "a", "v": 1}\nbroken\n\n{"k": "a", "v": 2}\n')
+    assert [tuple(r) for r in readers.read_jsonl(spark, f"file://{tmp_path}/c.jsonl", "k string, v int", "k").collect()] == [("a", 2)]
+
+
+def test_row_index_is_gapless(spark):
+    df = readers.with_row_index(spark.range(100).repartition(7), ["id"])
+    assert [r["row_index"] for r in df.orderBy("id").collect()] == list(range(1, 101))
+
+
+def test_reports(spark):
+    df = spark.createDataFrame([(1, "d1", "A", "VALIDATED", "english", "", "1"), (2, "d2", None, "ERROR", "", "ERROR:X", "2")], "row_index int, data_id string, classe string, status string, changed_fields string, qc_notes string, shard string")
+    df = df.withColumns({c: F.lit("text") for c in ("darija_arabic", "darija_arabizi", "english", "modern_standard_arabic")})
+    assert "- errors: 1" in sinks.shard_report(df, "1") and "| all | 2 | 1 | 1 |" in sinks.global_report(df)
+
+
+def test_stream_cleans_each_row_once(spark, tmp_path):
+    from corpusloom.streaming.incremental import clean_arrivals
+
+    df = readers.demo_corpus(spark).withColumn("data_id", F.col("row_index").cast("string"))
+    for _ in range(2):
+        df.write.mode("append").parquet(f"file://{tmp_path}/in")
+        clean_arrivals(spark, f"file://{tmp_path}/in", df.schema, f"file://{tmp_path}/out", f"file://{tmp_path}/progress").awaitTermination()
+    assert spark.read.parquet(f"file://{tmp_path}/out").count() == 3
