@@ -181,22 +181,29 @@ def clean_english(c: Column, stopwords=L.ENGLISH_STOPWORDS, effective_contractio
 def strip_placeholders(c: Column, terms) -> tuple[Column, Column]:
     """The text without placeholder terms, and how many there were. Neighbours share a space, so the
     second of two stays."""
-    c, count = collapse(c), F.lit(0)
+    plain = c = collapse(c)
+    found, count = c.rlike("(?iu)" + "|".join(sorted(terms))), F.lit(0)
     for term in sorted(terms):
         pattern = rf"(?iu)(^|{W}){re.escape(term).replace(chr(92) + ' ', ' ')}({W}|$)"
         count = count + F.regexp_count(c, F.lit(pattern))
         c = sub(c, pattern, " ")
-    return collapse(c), count
+    # one look decides whether the text has any of them; few have
+    return F.when(found, collapse(c)).otherwise(plain), F.when(found, count).otherwise(0)
 
 
-def collapse_repeats(c: Column) -> tuple[Column, Column]:
-    """Without words that repeat the one before, of three characters or more and not all digits;
-    and how many went."""
-    words = tokens(c)
+def without_repeats(words: Column) -> Column:
+    """Words but those that repeat the one before, of three characters or more and not all digits."""
     # pairs of a word and the one before: a lambda must not compute the words again for each word
     pairs = F.zip_with(words, F.concat(F.array(F.lit("")), words), lambda t, before: F.struct(t.alias("t"), before.alias("before")))
     kept = F.filter(pairs, lambda p: p["t"].isNotNull() & ((p["t"] != p["before"]) | (F.char_length(p["t"]) < 3) | p["t"].rlike("^[0-9]+$")))
-    return join(F.transform(kept, lambda p: p["t"])), F.size(words) - F.size(kept)
+    return F.transform(kept, lambda p: p["t"])
+
+
+def collapse_repeats(c: Column) -> tuple[Column, Column]:
+    """The text without repeats, and how many words went."""
+    words = tokens(c)
+    kept = without_repeats(words)
+    return join(kept), F.size(words) - F.size(kept)
 
 
 def for_similarity(c: Column, entities: bool = True) -> Column:
@@ -220,11 +227,13 @@ def _any_of(c: Column, words) -> Column:
 
 
 def looks_like_metadata(c: Column) -> Column:
+    # whatever matches has one of these; the rest is computed for few rows
+    likely = as_text(c).rlike("(?i)" + "|".join((*L.TARGETS, *L.METADATA_LANGUAGES)))
     c = F.lower(collapse(c))
     names = sum((c.contains(n).cast("int") for n in L.TARGETS), F.lit(0))
     listed = c.isin(",".join(L.TARGETS), ";".join(L.TARGETS))
     remarks = (word_count(c) >= 6) & _any_of(c, L.METADATA_ACTIONS) & _any_of(c, L.METADATA_LANGUAGES)
-    return (c != "") & (listed | (names >= 3) | remarks)
+    return likely & (listed | (names >= 3) | remarks)
 
 
 def has_darija_marker(c: Column) -> Column:

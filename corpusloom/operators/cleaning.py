@@ -69,14 +69,15 @@ def clean_corpus(df: DataFrame, options: CleaningOptions = CleaningOptions()) ->
     require_columns(df)
     out = df.withColumns(cleaned_columns(options))
     out = out.withColumn("drop_reason", drop_reason(out, options))
-    fixed, placeholders, repeats = {}, F.lit(0), F.lit(0)
-    for c in L.TARGETS:
-        text, n = X.strip_placeholders(F.col(c), L.PLACEHOLDERS[c])
-        text, m = X.collapse_repeats(text)
-        fixed[c], placeholders, repeats = text, placeholders + n, repeats + m
-    out = out.withColumns({f"fixed_{c}": v for c, v in fixed.items()} | {"placeholders_removed": placeholders, "repeats_removed": repeats})
+    # a projection for each step, so that no step's text is computed more than once
+    terms = {c: X.strip_placeholders(F.col(c), L.PLACEHOLDERS[c]) for c in L.TARGETS}
+    out = out.withColumns({f"__text_{c}": t for c, (t, _) in terms.items()} | {"placeholders_removed": sum((n for _, n in terms.values()), F.lit(0))})
+    out = out.withColumns({f"__words_{c}": X.tokens(F.col(f"__text_{c}")) for c in L.TARGETS})
+    out = out.withColumns({f"__kept_{c}": X.without_repeats(F.col(f"__words_{c}")) for c in L.TARGETS})
     stays = F.col("drop_reason").isNull()
-    out = out.withColumns({c: F.when(stays, F.col(f"fixed_{c}")).otherwise(F.col(c)) for c in L.TARGETS}).drop(*[f"fixed_{c}" for c in L.TARGETS])
+    repeats = sum((F.size(f"__words_{c}") - F.size(f"__kept_{c}") for c in L.TARGETS), F.lit(0))
+    out = out.withColumns({c: F.when(stays, X.join(F.col(f"__kept_{c}"))).otherwise(F.col(c)) for c in L.TARGETS} | {"repeats_removed": repeats})
+    out = out.drop(*[f"__{k}_{c}" for k in ("text", "words", "kept") for c in L.TARGETS])
     if "english_word_count" in df.columns:
         before = F.coalesce(F.expr("try_cast(english_word_count as int)"), F.lit(-1))
         out = out.withColumn("word_count_changed", before != X.word_count(F.col("english"))).withColumn("english_word_count", X.word_count(F.col("english")))

@@ -128,7 +128,7 @@ def flagship(spark, sf_dir: str) -> DataFrame:
 @query()
 def clean_corpus(spark, sf_dir):
     """Cleaned rows that stay. (Isolated digits and repeats need look-around: no SQL.)"""
-    return cleaning.kept(cleaning.clean_corpus(corpus(spark, sf_dir)).persist())
+    return cleaning.kept(cleaning.clean_corpus(corpus(spark, sf_dir)))
 
 
 @query()

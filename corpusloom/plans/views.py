@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from corpusloom import lexicon as L
+from corpusloom.sources.readers import spread
 
 _ARABIC = f"translate(lower(text), '{L.ARABIZI_LATIN}', '{L.ARABIZI_ARABIC}')"
 COLUMNS = {
@@ -30,4 +31,4 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr("doc_id", "lang", *[f"{e} AS {n}" for n, e in COLUMNS.items()])
+    return spread(table(spark, sf_dir, "documents")).selectExpr("doc_id", "lang", *[f"{e} AS {n}" for n, e in COLUMNS.items()])

@@ -59,6 +59,13 @@ def read_report(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.option("multiLine", True).json(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small input in fewer partitions than there are cores, dealt to all of them; others as they
+    are. Moving a few megabytes of text costs less than long expressions on one core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_row_index(df: DataFrame, order: list[str]) -> DataFrame:
     """``row_index`` from 1, by a global order, without a task that holds all rows: rows are numbered
     within ranges, and each range begins where the ones before end."""
