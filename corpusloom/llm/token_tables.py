@@ -23,6 +23,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import MIB, bounded_batches, materialize, pieces_for, shared_dir, slices, text_bytes
-from corpusloom.llm.token_counts import pretokens, tokenizer_path
+from corpusloom.llm.shared import MIB, bounded_batches, materialize, pieces_for, shared_dir, shed, slices, text_bytes
+from corpusloom.llm.token_counts import byte_characters, pretokens, tokenizer_path
 
 MAGIC, FOOTER = b"CLSSTAB1", struct.Struct("<QQQQQI8s")
 BLOCK_BYTES, BITS_A_KEY, PROBES = 64 * 1024, 10, 7
 FILE_BYTES = 16 * MIB
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 
 def varint(n: int) -> bytes:
@@ -172,36 +173,35 @@ class Table:
         return found
 
 
-class Encoder:
-    """The tokenizers library on pre-tokens, whose ids are remembered up to a bound."""
+class Encoder(dict):
+    """Ids of pre-tokens, by the tokenizers library's model, remembered up to a bound."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        specials = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-        self.special = {k: self._bytes([i]) for k, i in specials.items()}
-        self.cut = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
-        self.known: dict[str, bytes] = {}
+        self.kind = {array(c).itemsize: c for c in "HI"}[self.width]
+        self.written = dict(enumerate(byte_characters()))
+        self.special = {t.content: array(self.kind, [i]).tobytes() for i, t in self.library.get_added_tokens_decoder().items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+    def __missing__(self, pretoken: str) -> bytes:
+        tokens = self.model.tokenize(pretoken.encode().decode("latin-1").translate(self.written))
+        self[pretoken] = ids = array(self.kind, [t.id for t in tokens]).tobytes()
+        return ids
 
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        cut: list[list[str]] = []
+        shed(self, REMEMBERED)
+        get, last, out = self.__getitem__, array(self.kind, [end]).tobytes(), []
         for text in texts:
+            parts = [text or ""]
             if text and self.cut and self.cut.search(text):
-                cut.append([p for i, part in enumerate(self.cut.split(text)) for p in ([part] if i % 2 else pretokens(part))])
-            else:
-                cut.append(pretokens(text or ""))
-        fresh = list(set().union(*cut).difference(self.known))
-        self.known.update(zip(fresh, (self._bytes(e.ids) for e in self.library.encode_batch(fresh, add_special_tokens=False)), strict=True))
-        get, last = self.known.__getitem__, self._bytes([end])
-        return [b"".join((*map(get, c), last)) for c in cut]
+                parts = self.cut.split(text)
+            ids = [self.special[p] if i % 2 else b"".join(map(get, pretokens(p))) for i, p in enumerate(parts)]
+            out.append(b"".join((*ids, last)))
+        return out
 
 
 def open_path(path: str):
