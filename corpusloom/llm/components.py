@@ -8,12 +8,56 @@ one checksum a round, which says whether labels still change.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shared import materialize
 
 
+class Forest:
+    """Union-find over places, many links at a time."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def roots(self, at: np.ndarray) -> np.ndarray:
+        up = self.parent[at]
+        while (more := self.parent[up] != up).any():
+            up = np.where(more, self.parent[up], up)
+        self.parent[at] = up
+        return up
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        while len(i):
+            i, j = self.roots(i), self.roots(j)
+            apart = i != j
+            i, j = i[apart], j[apart]
+            np.minimum.at(self.parent, np.maximum(i, j), np.minimum(i, j))
+
+
+def _contract(batches):
+    """The spanning forest of a partition's links."""
+    pairs = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
+    if not pairs:
+        return
+    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    nodes, place = np.unique(np.concatenate((a, b)), return_inverse=True)
+    forest = Forest(len(nodes))
+    forest.join(place[: len(a)], place[len(a) :])
+    parent = forest.roots(np.arange(len(nodes)))
+    child = np.flatnonzero(parent != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_pydict({"a": pa.array(nodes[child]), "b": pa.array(nodes[parent[child]])})
+
+
+def contracted(edges: DataFrame, together: int = 16) -> DataFrame:
+    """Fewer links with the same components: the forest of each ``together`` partitions, which has
+    less links than nodes however many links it is made from."""
+    n = edges.rdd.getNumPartitions()
+    return edges.coalesce(max(1, -(-n // together))).mapInArrow(_contract, "a long, b long")
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """nodes: node long, rank long (what is minimised); edges: a, b, both nodes. Returns the nodes
     that have edges, with ``least``: the smallest rank in their component."""

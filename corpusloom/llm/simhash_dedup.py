@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.components import connected_components
+from corpusloom.llm.components import Forest, connected_components, contracted
 from corpusloom.llm.shared import bounded_batches, materialize, pieces_for, slices
 
 BITS = 64
@@ -127,27 +127,6 @@ def _compare(values, a, a_end, b, b_end, budget):
         yield i[near], j[near]
 
 
-class Forest:
-    """Union-find over places, many links at a time."""
-
-    def __init__(self, n: int):
-        self.parent = np.arange(n)
-
-    def roots(self, at: np.ndarray) -> np.ndarray:
-        up = self.parent[at]
-        while (more := self.parent[up] != up).any():
-            up = np.where(more, self.parent[up], up)
-        self.parent[at] = up
-        return up
-
-    def join(self, i: np.ndarray, j: np.ndarray) -> None:
-        while len(i):
-            i, j = self.roots(i), self.roots(j)
-            apart = i != j
-            i, j = i[apart], j[apart]
-            np.minimum.at(self.parent, np.maximum(i, j), np.minimum(i, j))
-
-
 def _linking(budget: int, sign_budget: int):
     def run(batches):
         tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
@@ -231,7 +210,7 @@ def simhash_dedup(docs: DataFrame, shingle: int = 5, budget: int = 2, id_col: st
     nodes = materialize(rows.groupBy(F.col("print").alias("node")).agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank")), "nodes")
     prints = nodes.select("node", F.lit(0).alias("family"), F.col("node").alias("print"), F.lit(None).cast("binary").alias("sign"))
     edges = materialize(links(prints, nodes.count(), budget, hot), "edges")
-    labels = connected_components(nodes, edges)
+    labels = connected_components(nodes, materialize(contracted(edges), "forest"))
     whole = materialize(nodes.join(labels, "node", "left").select("node", F.coalesce("least", "rank").alias("least")), "components")
     return rows.join(whole, F.col("print") == F.col("node"), "left").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.nullif("least", F.lit(NO_ID)).alias("component_id"))
 
@@ -308,7 +287,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     cosine = 2 * similarity / (1 + similarity)
     limit = int(BITS * SIGN_WORDS * np.arccos(cosine) / np.pi)
     edges = materialize(links(prints, FAMILIES * nodes.count(), 3, hot, limit), "edges")
-    labels = connected_components(nodes.select("node", "rank"), edges)
+    labels = connected_components(nodes.select("node", "rank"), materialize(contracted(edges), "forest"))
     whole = materialize(nodes.join(labels, "node", "left").select("node", F.coalesce("least", "rank").alias("least")), "components")
     return rows.select("id", "node").join(whole, "node", "left").select(F.col("id").alias(id_col), F.nullif("least", F.lit(NO_ID)).alias("component_id"))
 
