@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.shared import bounded_batches, materialize, slices
+from corpusloom.llm.shared import bounded_batches, labelled_sample, materialize, slices
 
 SAMPLE, SAMPLE_BYTES, BINS, RIDGE = 3000, 64 * 1024, 8, 1.0
 PUNCTUATION, DIGITS = bytes(c for c in range(33, 127) if not chr(c).isalnum()), b"0123456789"
@@ -91,17 +91,12 @@ def _scoring(model: QualityModel):
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str) -> QualityModel:
-    rows = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).join(rows, "id")
-    counts = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
-    x, y, weight = [], [], []
-    for k in (0, 1):
-        own = rows.where((F.col("y") == k) & (F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES)).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("text").collect()
-        x += [features(r[0].encode() if r[0] is not None else None) for r in own]
-        y += [k] * len(own)
-        weight += [counts[k] / len(own)] * len(own)
-    share = counts.get(1, 0) / sum(counts.values()) if counts else 1.0
-    return QualityModel(np.array(x).reshape(-1, 10), np.array(y, float), np.array(weight) * len(y) / max(1, sum(counts.values())), share)
+    texts, counts = labelled_sample(docs, labels, label, id_col, text_col, SAMPLE, SAMPLE_BYTES)
+    n, total = sum(map(len, texts)), max(1, sum(counts))
+    x = np.array([features(t) for own in texts for t in own]).reshape(-1, 10)
+    y = np.repeat([0.0, 1.0], [len(own) for own in texts])
+    weight = np.concatenate([np.full(len(own), c / max(1, len(own)) * n / total) for own, c in zip(texts, counts, strict=True)])
+    return QualityModel(x, y, weight, counts[1] / total if sum(counts) else 1.0)
 
 
 def log_odds(p: Column) -> Column:

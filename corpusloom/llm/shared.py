@@ -5,9 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIB = 1 << 20
@@ -64,3 +65,29 @@ def slices(table: pa.Table | pa.RecordBatch, sizes, limit: int = MIB) -> Iterato
         held += size
     if start < table.num_rows:
         yield start, table.num_rows
+
+
+def shed(known: dict, most: int) -> None:
+    """Keep what a dictionary has remembered within a bound: of more than ``most`` entries the newer
+    half goes. Words that are frequent come early, so they stay."""
+    if len(known) > most:
+        for k in list(islice(known, most // 2, None)):
+            del known[k]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, size: int, most_bytes: int, allowed: Column | None = None) -> tuple[list[list[bytes | None]], list[int]]:
+    """Texts of at most ``size`` rows labelled 0 and as many labelled 1, in the order of a hash of
+    the id, without those over ``most_bytes``; and how many labels of each kind there are. Only ids
+    are sorted; they are then broadcast, 2 * size at most, so no text is shuffled. ``allowed`` is a
+    condition on the column ``id``."""
+    ids = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
+    ids = ids if allowed is None else ids.where(allowed)
+    counts = {r[0]: r[1] for r in ids.groupBy("y").count().collect()}
+    chosen = [tuple(r) for y in (0, 1) for r in ids.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(size).collect()]
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "id long, y int"))
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.where(F.coalesce(F.octet_length(text), F.lit(0)) <= most_bytes).select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")).join(wanted, "id").select("y", "text").collect()
+    texts: list[list[bytes | None]] = [[], []]
+    for y, t in rows:
+        texts[y].append(None if t is None else t.encode())
+    return [sorted(t, key=lambda x: x or b"") for t in texts], [counts.get(0, 0), counts.get(1, 0)]

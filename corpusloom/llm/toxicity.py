@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import bounded_batches, slices
+from corpusloom.llm.shared import bounded_batches, labelled_sample, shed, slices
 
 SAMPLE, SAMPLE_BYTES = 2000, 32 * 1024
 DICTIONARY, CARRIER, LIFT, LEAST_LIFT, LEAST_SCORE = 8192, 64, 6.0, 4.0, 6.0
@@ -184,8 +184,7 @@ class Evidence(dict):
         self.lengths, self.hits = model.lengths(), model.hits
 
     def __missing__(self, word: bytes) -> float:
-        if len(self) > REMEMBERED:
-            self.clear()
+        shed(self, REMEMBERED)
         self[word] = value = self.hits.get(self.lengths.pair(word), 0.0)
         return value
 
@@ -206,17 +205,6 @@ def _scoring(model: ToxicityModel):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, held_out) -> ToxicityModel:
-    rows = labels.where(F.col(label).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).where(F.col("id").isNotNull())
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where(~held_out(F.col("id"))).join(rows, "id")
-    counts = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
-    texts = []
-    for y in (0, 1):
-        own = rows.where((F.col("y") == y) & (F.octet_length("text") <= SAMPLE_BYTES)).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("text").collect()
-        texts.append([r[0].encode() for r in own])
-    return ToxicityModel(texts, [counts.get(0, 0), counts.get(1, 0)])
-
-
 def fifth(doc_id) -> F.Column:
     """Rows that the model never learns from: crc32 of the id as text, a multiple of 5."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -225,7 +213,7 @@ def fifth(doc_id) -> F.Column:
 def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ``held_out``, ``score``, ``predicted`` of every row."""
     bounded_batches(docs.sparkSession)
-    model = fit(docs, labels, label, id_col, text_col, fifth)
+    model = ToxicityModel(*labelled_sample(docs, labels, label, id_col, text_col, SAMPLE, SAMPLE_BYTES, ~fifth(F.col("id"))))
     given = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), fifth(F.col(f"`{id_col}`")).alias("held_out"))
     kind = given.schema["id"].dataType.simpleString()
     scored = given.mapInArrow(_scoring(model), f"id {kind}, held_out boolean, score double")
