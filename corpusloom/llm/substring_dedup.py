@@ -365,3 +365,18 @@ def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Words of 35-word passages that also start elsewhere, removed from all of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return substring_dedup(docs).select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 34], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)
+),
+dup AS (SELECT t FROM win GROUP BY t HAVING count(*) > 1),
+hit AS (SELECT DISTINCT doc_id, s + k AS p FROM win JOIN dup USING (t), range(0, 35) r(k)),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k, count(*) AS n FROM words ANTI JOIN hit USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
