@@ -460,7 +460,7 @@ def llm_zip(spark, sf_dir):
     return corrections.zip_batches(df, answers).select("data_id", F.col("answer.english").alias("fixed"))
 
 
-@query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN round(length(text) / 1e6 * 0.4 + 100 / 1e6 * 1.6, 6) ELSE round(length(text) / 1e6 * 0.15 + 100 / 1e6 * 0.6, 6) END AS cost FROM conversations")
+@query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN round(length(text) * 1000 / 1e6 * 0.4 + 100000 / 1e6 * 1.6, 6) ELSE round(length(text) * 1000 / 1e6 * 0.15 + 100000 / 1e6 * 0.6, 6) END AS cost FROM conversations")
 def cost_estimate(spark, sf_dir):
     model = F.when(F.col("role") == "user", "gpt-4.1-mini").otherwise("unknown")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", similarity.cost(F.char_length("text"), F.lit(100), model).alias("cost"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", similarity.cost(F.char_length("text") * 1000, F.lit(100_000), model).alias("cost"))
