@@ -61,6 +61,11 @@ def contracted(edges: DataFrame, together: int = 16) -> DataFrame:
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """nodes: node long, rank long (what is minimised); edges: a, b, both nodes. Returns the nodes
     that have edges, with ``least``: the smallest rank in their component."""
+    return component_labels(nodes, edges).select("node", F.col("label.rank").alias("least"))
+
+
+def component_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """As connected_components, with ``label``: the smallest (rank, node) of the component."""
     both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).union(edges.select("a", F.col("a").alias("b"))).union(edges.select(F.col("b").alias("a"), "b")).distinct(), "links")
     ends = both.select(F.col("a").alias("node")).distinct()
     labels = materialize(nodes.join(ends, "node", "left_semi").select("node", F.struct("rank", "node").alias("label")), "labels")
@@ -72,5 +77,5 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = materialize(spread.join(target, F.col("label.node") == F.col("to")).select("node", F.least("label", "further").alias("label")), "labels")
         now = labels.agg(F.expr("bit_xor(xxhash64(node, label.node))")).first()[0]
         if now == seen:
-            return labels.select("node", F.col("label.rank").alias("least"))
+            return labels
         seen = now

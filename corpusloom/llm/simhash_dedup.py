@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.components import Forest, connected_components, contracted
+from corpusloom.llm.components import Forest, component_labels, connected_components, contracted
 from corpusloom.llm.shared import bounded_batches, materialize, pieces_for, slices
 
 BITS = 64
@@ -217,7 +217,11 @@ def simhash_dedup(docs: DataFrame, shingle: int = 5, budget: int = 2, id_col: st
 
 # ---------------------------------------------------------------------------------- similarity
 
-FAMILIES, SIGN_WORDS = 8, 4
+SIGN_WORDS = 4
+#: Texts meet if all minima of one band agree. At a Jaccard similarity of 0.8 all bands fail for
+#: (1 - 0.8 ** 8) ** 64 = 8e-6 of the pairs, whatever the edits are.
+BANDS, BAND_ROWS = 64, 8
+_ODD = np.random.default_rng(64).integers(0, 1 << 32, (BANDS * BAND_ROWS, 1), np.uint32) | np.uint32(1)
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -243,52 +247,157 @@ class WordHash(dict):
         return value
 
 
-def sketch(text: bytes | None, shingle: int, known: WordHash) -> tuple[list[int], bytes]:
-    """Fingerprints of the set of words under ``FAMILIES`` seeds, and a sign of 256 bits of the
-    set of shingles."""
+def shingles(text: bytes | None, shingle: int, known: WordHash) -> np.ndarray:
+    """Hashes of the set of shingles, ascending. A text without words has one, 0; one of fewer words
+    than the shingle is one shingle."""
     words = (text or b"").lower().split()
-    if not words:
-        return [0] * FAMILIES, bytes(8 * SIGN_WORDS)
     hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     rolled = np.zeros(max(1, len(words) - shingle + 1), np.uint64)
     for k in range(min(shingle, len(words))):
         rolled = (rolled + hashes[k : k + len(rolled)]) * np.uint64(0x9E3779B97F4A7C15)
         rolled ^= rolled >> np.uint64(31)
-    prints = [_majority(v) for v in _variants(np.unique(hashes), 1, FAMILIES)]
-    sign = [_majority(v) for v in _variants(np.unique(rolled), 101, SIGN_WORDS)]
-    return prints, np.array(sign, np.uint64).tobytes()
+    return np.unique(rolled)
+
+
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """A byte of each of the minima of the shingles under ``BANDS * BAND_ROWS`` permutations: the
+    share of equal bytes of two sets estimates their Jaccard similarity."""
+    x = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(_ODD), 0xFFFFFFFF, np.uint32)
+    for k in range(0, len(x), 512):
+        np.minimum(least, (_ODD * x[k : k + 512]).min(axis=1), out=least)
+    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each band, of its ``BAND_ROWS`` bytes."""
+    keys = (minima(hashes).view(np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return (keys ^ (keys >> np.uint64(29))).view(np.int64)
 
 
-def _sketching(shingle: int):
+def _banding(shingle: int):
     def run(batches):
         known = WordHash()
         for batch in batches:
             text = batch.column("text").cast(pa.large_binary())
             sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy()
-            done = [sketch(t, shingle, known) for a, b in slices(batch, sizes) for t in text.slice(a, b - a).to_pylist()]
-            prints = [np.array(p, np.uint64).view(np.int64) for p, _ in done]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), pa.array(prints, pa.list_(pa.int64())), pa.array([s for _, s in done], pa.binary())], ["id", "node", "prints", "sign"])
+            sets = (shingles(t, shingle, known) for a, b in slices(batch, sizes) for t in text.slice(a, b - a).to_pylist())
+            done = [(len(s), band_keys(s)) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), pa.array([n for n, _ in done], pa.int64()), pa.array([k for _, k in done], pa.list_(pa.int64()))], ["id", "node", "size", "keys"])
+
+    return run
+
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether 256 bits of a SimHash of two sets of shingles tell of ``similarity`` (a cosine c
+    differs in acos(c)/pi of the bits)."""
+    limit = int(BITS * SIGN_WORDS * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    x, y = (np.array([_majority(v) for v in _variants(s, 101, SIGN_WORDS)], np.uint64) for s in (a, b))
+    return bool(np.bitwise_count(x ^ y).sum() <= limit)
+
+
+def _signing(shingle: int):
+    def run(batches):
+        known = WordHash()
+        for batch in batches:
+            signs = [minima(shingles(t.as_py(), shingle, known)).tobytes() for t in batch.column("text").cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(signs, pa.binary())], ["node", "sign"])
+
+    return run
+
+
+def meeting(band, node, size, label, sign, similarity: float):
+    """Yield arrays (i, j) of places in one group of a band: pairs apart in ``label`` that meet in no
+    earlier band, without those whose sizes, or minima by 5.5 standard deviations, are below ``similarity``."""
+    least = BANDS * BAND_ROWS * (similarity - 5.5 * (similarity * (1 - similarity) / (BANDS * BAND_ROWS)) ** 0.5)
+    words = sign.view(np.uint64)
+    for i in range(len(node)):
+        j = np.flatnonzero((node > node[i]) & (label != label[i]) & (np.minimum(size, size[i]) / np.maximum(size, size[i]) >= similarity))
+        for k in range(0, len(j), 4096):
+            part = j[k : k + 4096]
+            part = part[(words[part] == words[i]).argmax(axis=1) == band[i]]
+            part = part[(sign[part] == sign[i]).sum(axis=1) >= least]
+            yield np.full(len(part), i), part
+
+
+def _meeting(similarity: float):
+    def run(batches):
+        tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        if not tables:
+            return
+        table = pa.concat_tables(tables)
+        table = table.take(pc.sort_indices(table, sort_keys=[("key", "ascending")]))
+        key, band, node, size, label = (table.column(c).to_numpy() for c in ("key", "band", "node", "size", "label"))
+        sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(len(key), -1)
+        edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+        for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            at = slice(start, end)
+            for i, j in meeting(band[at], node[at], size[at], label[at], sign[at], similarity):
+                if len(i):
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(node[at][i]), "b": pa.array(node[at][j])})
 
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", hot: int = 50_000) -> DataFrame:
+def _confirming(shingle: int, similarity: float):
+    def run(batches):
+        known, at, one = WordHash(), None, None
+        for batch in batches:
+            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            text_a, text_b = (batch.column(c).cast(pa.large_binary()) for c in ("text_a", "text_b"))
+            near = []
+            for i, node in enumerate(a):
+                if node != at:
+                    at, one = node, shingles(text_a[i].as_py(), shingle, known)
+                if alike(one, shingles(text_b[i].as_py(), shingle, known), similarity):
+                    near.append(i)
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a[i] for i in near], pa.int64()), "b": pa.array([b[i] for i in near], pa.int64())})
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and ``component_id``, where texts are linked whose sets of ``shingle``-word shingles have a
-    Jaccard similarity of ``similarity`` or more, as 256 bits of a SimHash of them tell (a cosine c
-    differs in acos(c)/pi of the bits). At that similarity single fingerprints of 64 bits differ in
-    too many bits to be found within a small budget. So candidates come from fingerprints of the
-    sets of words, which near copies nearly share: 8 of them, within 3 bits in any one."""
-    bounded_batches(docs.sparkSession)
+    Jaccard similarity of ``similarity`` or more.
+
+    Candidates are texts that meet in a band of minima (see ``BANDS``). First each is held against
+    the least and the greatest node of every band it is in, which links most of a large group by as
+    many pairs as it has texts; then all pairs that meet and are not yet in one component, but for
+    those that the share of equal minima tells to be far below (see ``meeting``)."""
+    bounded_batches(docs.sparkSession, 256)
     text = F.lower(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text, F.octet_length(text)).alias("node"), text.alias("text"))
-    rows = materialize(given.mapInArrow(_sketching(shingle), "id long, node long, prints array<long>, sign binary"), "sketches")
-    nodes = materialize(rows.groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank"), F.first("prints").alias("prints"), F.first("sign").alias("sign")), "nodes")
-    prints = nodes.select("node", "sign", F.posexplode("prints").alias("family", "print"))
-    cosine = 2 * similarity / (1 + similarity)
-    limit = int(BITS * SIGN_WORDS * np.arccos(cosine) / np.pi)
-    edges = materialize(links(prints, FAMILIES * nodes.count(), 3, hot, limit), "edges")
-    labels = connected_components(nodes.select("node", "rank"), materialize(contracted(edges), "forest"))
-    whole = materialize(nodes.join(labels, "node", "left").select("node", F.coalesce("least", "rank").alias("least")), "components")
+    rows = materialize(given.mapInArrow(_banding(shingle), "id long, node long, size long, keys array<long>"), "bands")
+    nodes = materialize(rows.groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank"), F.first("size").alias("size"), F.first("keys").alias("keys")), "nodes")
+    each = nodes.select("node", "size", F.posexplode("keys").alias("band", "key"))
+    end = F.struct("node", "size")
+    ends = materialize(each.groupBy("key").agg(F.min(end).alias("low"), F.max(end).alias("high")).where("low.node < high.node"), "ends")
+    met = materialize(each.join(ends.select("key"), "key", "left_semi"), "met")
+    texts = materialize(given.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+
+    def fit(a: str, b: str) -> Column:
+        return F.least(a, b) / F.greatest(a, b) >= similarity
+
+    def confirmed(pairs: DataFrame, tag: str) -> DataFrame:
+        whole = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        return materialize(whole.select("a", "b", "text_a", "text_b").mapInArrow(_confirming(shingle, similarity), "a long, b long"), tag)
+
+    centre = ends.select("key", F.explode(F.array("low", "high")).alias("centre"))
+    tested = met.join(centre, "key").where((F.col("node") != F.col("centre.node")) & fit("size", "centre.size"))
+    tested = materialize(tested.select(F.col("centre.node").alias("a"), F.col("node").alias("b")).distinct(), "tested")
+    edges = confirmed(tested, "edges")
+    ranks = nodes.select("node", "rank")
+    labels = component_labels(ranks, materialize(contracted(edges), "forest")).select("node", F.col("label.node").alias("label"))
+    now = met.join(labels, "node", "left").select("key", "band", "node", "size", F.coalesce("label", "node").alias("label"))
+    mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    now = materialize(now.join(mixed, "key", "left_semi"), "apart")
+    signs = texts.join(now.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(_signing(shingle), "node long, sign binary")
+    n = pieces_for(now.count(), 1 << 15, max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    rest = now.join(materialize(signs, "signs"), "node").repartition(n, "key").mapInArrow(_meeting(similarity), "a long, b long")
+    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = confirmed(materialize(rest.distinct().join(done, ["a", "b"], "left_anti"), "rest"), "edges")
+    labels = connected_components(ranks, materialize(contracted(edges.union(more)), "forest"))
+    whole = materialize(ranks.join(labels, "node", "left").select("node", F.coalesce("least", "rank").alias("least")), "components")
     return rows.select("id", "node").join(whole, "node", "left").select(F.col("id").alias(id_col), F.nullif("least", F.lit(NO_ID)).alias("component_id"))
 
 

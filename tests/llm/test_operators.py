@@ -118,6 +118,39 @@ def test_near_duplicates(spark):
     assert {r[0]: r[1] for r in simhash_dedup.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5}
 
 
+def edited(kind: str, share: float, n: int, r, own: str) -> tuple[str, str]:
+    """A text of ``n`` words and a copy whose shingles have a Jaccard similarity of about ``share``."""
+    words = [f"{own}{r.integers(50_000)}" for _ in range(n)]
+    if kind == "appended":
+        return " ".join(words), " ".join([*words, *(f"{own}x{r.integers(50_000)}" for _ in range(int((n - 4) * (1 / share - 1))))])
+    if kind == "cut":
+        return " ".join(words), " ".join(words[: int((n - 4) * share) + 5])
+    lost, other = (n - 4) * (1 - share) / (1 + share), list(words)
+    for at in r.permutation(np.arange(4, n - 4, 5))[: max(1, int(lost / 5))]:
+        other[at] = f"{own}y{at}"
+    return " ".join(words), " ".join(other)
+
+
+def jaccard(a: str, b: str) -> float:
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+@pytest.fixture(scope="module")
+def pairs_by_kind(spark):
+    r = np.random.default_rng(8)
+    pairs = [(k, *edited(k, r.uniform(0.7, 0.9), int(r.integers(60, 600)), r, f"{k}{i}w")) for k in ("appended", "cut", "edited") for i in range(300)]
+    rows = [(2 * i + j, p[1 + j]) for i, p in enumerate(pairs) for j in range(2)]
+    got = dict(map(tuple, simhash_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()))
+    return [(k, jaccard(a, b), got[2 * i] == got[2 * i + 1]) for i, (k, a, b) in enumerate(pairs)]
+
+
+def test_near_duplicates_are_candidates_whatever_the_edit_is(pairs_by_kind):
+    for kind in ("appended", "cut", "edited"):
+        clear = [linked for k, j, linked in pairs_by_kind if k == kind and 0.86 <= j]
+        assert len(clear) > 20 and sum(clear) / len(clear) > 0.75
+
+
 def test_components_of_a_long_path(spark):
     nodes = spark.range(200).select(F.col("id").alias("node"), (500 - F.col("id")).alias("rank"))
     edges = spark.range(149).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
