@@ -217,28 +217,12 @@ def simhash_dedup(docs: DataFrame, shingle: int = 5, budget: int = 2, id_col: st
 
 # ---------------------------------------------------------------------------------- similarity
 
-SIGN_WORDS = 4
 #: Texts meet if all minima of one band agree. At a Jaccard similarity of 0.8 all bands fail for
 #: (1 - 0.8 ** 8) ** 64 = 8e-6 of the pairs, whatever the edits are.
 BANDS, BAND_ROWS = 64, 8
 _ODD = np.random.default_rng(64).integers(0, 1 << 32, (BANDS * BAND_ROWS, 1), np.uint32) | np.uint32(1)
 
 
-def _majority(hashes: np.ndarray) -> int:
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
-
-
-def _variants(hashes: np.ndarray, first: int, count: int) -> list[np.ndarray]:
-    """Hashes of the same things under other seeds."""
-    out = []
-    for k in range(first, first + count):
-        x = (hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xFF51AFD7ED558CCD)
-        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-        out.append(x ^ (x >> np.uint64(29)))
-    return out
-
-
 class WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > 300_000:
@@ -289,11 +273,9 @@ def _banding(shingle: int):
 
 
 def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether 256 bits of a SimHash of two sets of shingles tell of ``similarity`` (a cosine c
-    differs in acos(c)/pi of the bits)."""
-    limit = int(BITS * SIGN_WORDS * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    x, y = (np.array([_majority(v) for v in _variants(s, 101, SIGN_WORDS)], np.uint64) for s in (a, b))
-    return bool(np.bitwise_count(x ^ y).sum() <= limit)
+    """Whether the Jaccard similarity of two sets of shingles is ``similarity`` or more."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) >= similarity
 
 
 def _signing(shingle: int):
@@ -358,7 +340,7 @@ def _confirming(shingle: int, similarity: float):
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and ``component_id``, where texts are linked whose sets of ``shingle``-word shingles have a
-    Jaccard similarity of ``similarity`` or more.
+    Jaccard similarity of ``similarity`` or more: that of each pair linked is computed from the texts.
 
     Candidates are texts that meet in a band of minima (see ``BANDS``). First each is held against
     the least and the greatest node of every band it is in, which links most of a large group by as

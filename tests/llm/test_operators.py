@@ -151,6 +151,11 @@ def test_near_duplicates_are_candidates_whatever_the_edit_is(pairs_by_kind):
         assert len(clear) > 20 and sum(clear) / len(clear) > 0.75
 
 
+def test_near_duplicates_are_linked_from_the_similarity_on(pairs_by_kind):
+    assert [(k, j) for k, j, linked in pairs_by_kind if linked != (j >= 0.8)] == []
+    assert {j >= 0.8 for k, j, _ in pairs_by_kind} == {False, True}
+
+
 def test_components_of_a_long_path(spark):
     nodes = spark.range(200).select(F.col("id").alias("node"), (500 - F.col("id")).alias("rank"))
     edges = spark.range(149).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
