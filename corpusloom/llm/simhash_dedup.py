@@ -338,8 +338,17 @@ def _confirming(shingle: int, similarity: float):
     return run
 
 
+def lower_text(text_col: str) -> Column:
+    return F.lower(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+
+
+def text_key(text_col: str) -> Column:
+    return F.xxhash64(lower_text(text_col), F.octet_length(lower_text(text_col)))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ``component_id``, where texts are linked whose sets of ``shingle``-word shingles have a
+    """id, ``component_id``, ``text_key`` (a hash of the lower-case text) and ``least_key`` (that of the
+    component's smallest id), where texts are linked whose sets of ``shingle``-word shingles have a
     Jaccard similarity of ``similarity`` or more: that of each pair linked is computed from the texts.
 
     Candidates are texts that meet in a band of minima (see ``BANDS``). First each is held against
@@ -347,8 +356,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     many pairs as it has texts; then all pairs that meet and are not yet in one component, but for
     those that the share of equal minima tells to be far below (see ``meeting``)."""
     bounded_batches(docs.sparkSession, 256)
-    text = F.lower(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text, F.octet_length(text)).alias("node"), text.alias("text"))
+    text = lower_text(text_col)
+    given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_key(text_col).alias("node"), text.alias("text"))
     rows = materialize(given.mapInArrow(_banding(shingle), "id long, node long, size long, keys array<long>"), "bands")
     nodes = materialize(rows.groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank"), F.first("size").alias("size"), F.first("keys").alias("keys")), "nodes")
     each = nodes.select("node", "size", F.posexplode("keys").alias("band", "key"))
@@ -378,9 +387,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     rest = now.join(materialize(signs, "signs"), "node").repartition(n, "key").mapInArrow(_meeting(similarity), "a long, b long")
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = confirmed(materialize(rest.distinct().join(done, ["a", "b"], "left_anti"), "rest"), "edges")
-    labels = connected_components(ranks, materialize(contracted(edges.union(more)), "forest"))
-    whole = materialize(ranks.join(labels, "node", "left").select("node", F.coalesce("least", "rank").alias("least")), "components")
-    return rows.select("id", "node").join(whole, "node", "left").select(F.col("id").alias(id_col), F.nullif("least", F.lit(NO_ID)).alias("component_id"))
+    labels = component_labels(ranks, materialize(contracted(edges.union(more)), "forest"))
+    whole = materialize(ranks.join(labels, "node", "left").select("node", F.coalesce("label", F.struct("rank", "node")).alias("least")), "components")
+    return rows.select("id", "node").join(whole, "node", "left").select(F.col("id").alias(id_col), F.nullif("least.rank", F.lit(NO_ID)).alias("component_id"), F.col("node").alias("text_key"), F.col("least.node").alias("least_key"))
 
 
 def op4_simhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -141,7 +141,7 @@ def pairs_by_kind(spark):
     r = np.random.default_rng(8)
     pairs = [(k, *edited(k, r.uniform(0.7, 0.9), int(r.integers(60, 600)), r, f"{k}{i}w")) for k in ("appended", "cut", "edited") for i in range(300)]
     rows = [(2 * i + j, p[1 + j]) for i, p in enumerate(pairs) for j in range(2)]
-    got = dict(map(tuple, simhash_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()))
+    got = {r[0]: r[1] for r in simhash_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
     return [(k, jaccard(a, b), got[2 * i] == got[2 * i + 1]) for i, (k, a, b) in enumerate(pairs)]
 
 
@@ -156,6 +156,18 @@ def test_near_duplicates_are_linked_from_the_similarity_on(pairs_by_kind):
     assert {j >= 0.8 for k, j, _ in pairs_by_kind} == {False, True}
 
 
+def test_near_copies_of_repeated_ids(spark):
+    import corpus_pipeline
+
+    text = {k: " ".join(f"{k}{i * 37 % 1000}" for i in range(300)) for k in "abc"}
+    near = f"{text['a']} more"
+    rows = [(1, text["a"]), (2, near), (2, text["b"]), (3, text["c"]), (3, text["b"]), (3, text["c"]), (4, text["c"]), (5, near.upper()), (None, text["c"]), (None, text["c"])]
+    got = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert Counter(map(tuple, got)) == Counter([(1, text["a"]), (2, text["b"]), (3, text["c"]), (None, text["c"]), (None, text["c"])])
+    same = [(7, text["a"]), (7, near)]
+    assert corpus_pipeline.near_copies(spark, spark.createDataFrame(same, SCHEMA), "").count() == 1
+
+
 def test_components_of_a_long_path(spark):
     nodes = spark.range(200).select(F.col("id").alias("node"), (500 - F.col("id")).alias("rank"))
     edges = spark.range(149).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
