@@ -148,18 +148,12 @@ def transliterate(c: Column) -> Column:
     return collapse(F.translate(c, L.ARABIZI_LATIN, L.ARABIZI_ARABIC))
 
 
-def contractions() -> list[tuple[str, str]]:
-    """Contracted and full forms, longest first."""
-    regular = [(stem + end, f"{stem} {L.CONTRACTION_ENDINGS[end]}") for end, stems in L.CONTRACTION_STEMS.items() for stem in stems]
-    return sorted([*L.IRREGULAR_CONTRACTIONS.items(), *regular], key=lambda x: (-len(x[0]), x[0]))
-
-
 def expand_contractions(c: Column, effective: bool = False) -> Column:
     """Published results leave contractions alone, whatever their option says; so does this, unless
     ``effective``."""
     c = as_text(c)
     if effective:
-        for short, full in contractions():
+        for short, full in L.CONTRACTIONS.items():
             c = sub(c, rf"(?i)\b{short}\b", full)
     return c
 
