@@ -5,19 +5,23 @@ words is one window. Steps:
 
 1. distinct windows of all items, with the items that hold them;
 2. how often each of their words occurs in the whole corpus (a partial count on the map side), and
-   of each window its rarest word, the pivot, with its offset; windows with a word that never
-   occurs are out;
-3. the postings (document, position) of pivots alone. Each is moved by the pivot's offset to where
-   the window would begin, and the offset-adjusted words there are held against the window: a
-   phrase match. For a proximity match, all its words occur within ``slop`` words of the pivot;
-4. matches are gathered by document, as sets of spans.
-
-The corpus is not shuffled; what moves is one row for each document and match. Benchmark tables are
-broadcast only up to ``BROADCAST_BYTES``; a larger one is dealt into blocks of that size, each with
-a pass of its own over the corpus. Each document also sends one row that says its number of words.
-
-Defined cases: null texts have no words and no hits; null item ids count for no item; rows that are
-repeated (same id and text) are each returned; empty tables give no hits; other columns are ignored.
+   of each window its two rarest words with their offsets, the pivot and the partner; windows with a
+   word that never occurs are out;
+3. the index: the postings (document, term, position) of pivots and partners, written to the shared
+   folder, with one more for each document that says where it ends;
+4. the lists of each pair of pivot and partner are intersected, adjusted by their offsets: both must
+   stand as they do in the window or, for proximity, within ``slop`` words of each other. Lists meet
+   by document, term and a cell of positions, so no list is in one task;
+5. where lists meet, the other words are held against the document: in a phrase match they follow in
+   order; in a proximity match all words of the window are within ``slop`` words of the pivot;
+6. matches are gathered by document, as sets of spans.
+
+Tables of benchmark terms, pairs and windows are broadcast only up to ``BROADCAST_BYTES``; a larger
+one is dealt into blocks of that size, each with a pass of its own.
+
+Defined cases: null texts have no words and no hits; very long texts are matched whole; null item ids
+count for no item; rows that are repeated (same id and text) are each returned; null ids are told
+apart by their texts; empty tables give no hits; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.shared import materialize
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_BYTES = 16 << 20
 
 
@@ -39,7 +43,8 @@ def lower_ascii(text: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
+    """Cut between words: one split is several times as fast as an extraction of each word."""
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text.cast("string"), F.lit(""))), BETWEEN_WORDS), "")
 
 
 def benchmark_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
@@ -65,46 +70,80 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def pivots(docs_words: DataFrame, windows: DataFrame) -> DataFrame:
-    """Each window with its rarest word in the corpus and that word's offset."""
+def plan(docs_words: DataFrame, windows: DataFrame) -> DataFrame:
+    """Each window that can occur: ``wanted`` (its words), ``items``, its rarest word ``term`` with its
+    ``offset``, the next one, ``partner``, and ``delta``, how far behind ``term`` it stands."""
     placed = windows.select("words", "items", F.posexplode("words").alias("offset", "term"))
     vocabulary = materialize(placed.select("term").distinct(), "terms")
     seen = docs_words.select(F.explode_outer("words").alias("term"))
     counts = union([seen.join(v, "term") for v in blocks_of(vocabulary, F.octet_length("term") + 16, "term")]).groupBy("term").agg(F.count("*").alias("n"))
-    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term"))
-    chosen = placed.join(counts, "term", "left").groupBy("words").agg(F.first("items").alias("items"), rarest.alias("pivot"))
-    return materialize(chosen.where("pivot.n > 0").select(F.col("pivot.term").alias("term"), F.col("pivot.offset").alias("offset"), F.col("words").alias("wanted"), "items"), "pivots")
-
-
-def matches(docs_words: DataFrame, chosen: DataFrame, slop: int | None) -> DataFrame:
-    """Postings of pivots that are matches, and for each document one row with ``ends`` = number
-    of words. Reads ``key``, ``words``; returns the other columns of ``docs_words`` as well."""
-    carried = [c for c in docs_words.columns if c != "words"]
-    ending = docs_words.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(0).alias("offset"), F.lit(None).cast("array<string>").alias("wanted"), F.lit(None).cast("array<string>").alias("items"))
-    # the empty word, which no text has, stands for the end of a document
-    postings = docs_words.select(*carried, "words", F.posexplode_outer(F.concat("words", F.array(F.lit("")))).alias("pos", "term"))
-    begin = F.col("pos") - F.col("offset")
+    ranked = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term")))
+    order = placed.join(materialize(counts, "counts"), "term", "left").groupBy("words").agg(F.first("items").alias("items"), ranked.alias("order"))
+    pivot, partner = F.col("order")[0], F.coalesce(F.get("order", F.lit(1)), F.col("order")[0])
+    columns = {"wanted": F.col("words"), "items": F.col("items"), "term": pivot["term"], "offset": pivot["offset"], "partner": partner["term"], "delta": partner["offset"] - pivot["offset"]}
+    return materialize(order.where(pivot["n"] > 0).select(*[c.alias(n) for n, c in columns.items()]), "plan")
+
+
+def postings(docs_words: DataFrame, terms: DataFrame) -> DataFrame:
+    """The index: id, text_key, term, pos. The empty word, which no text has, stands at the end."""
+    every = docs_words.select("id", "text_key", F.posexplode(F.concat("words", F.array(F.lit("")))).alias("pos", "term"))
+    ending = docs_words.sparkSession.range(1).select(F.lit("").alias("term"))
+    blocks = blocks_of(terms, F.octet_length("term") + 16, "term")
+    blocks[0] = F.broadcast(blocks[0].unionByName(ending))
+    return materialize(union([every.join(b, "term") for b in blocks]).select("id", "text_key", "term", "pos"), "postings")
+
+
+def same_text(a: DataFrame, b: DataFrame) -> Column:
+    return a["id"].eqNullSafe(b["id"]) & (a["text_key"] == b["text_key"])
+
+
+def meetings(index: DataFrame, chosen: DataFrame, reach: int, slop: int | None) -> DataFrame:
+    """For each document with any, the places where the lists of a pivot and a partner meet."""
+    cell = 8 * reach
+    pairs = materialize(chosen.select("term", "partner", "delta").distinct(), "pairs")
+    heads = union([index.join(b, "term") for b in blocks_of(pairs, F.octet_length("term") + F.octet_length("partner") + 16, "term")])
+    cells = F.array_distinct(F.array(*[F.floor((F.col("pos") + d) / cell) for d in (-reach, reach)]))
+    heads = heads.select("id", "text_key", "term", "partner", "delta", "pos", F.explode(cells).alias("cell"))
+    tails = index.where("term <> ''").select("id", "text_key", F.col("term").alias("name"), F.col("pos").alias("at"), F.floor(F.col("pos") / cell).alias("there"))
+    distance = tails["at"] - heads["pos"]
+    meets = distance == heads["delta"]
+    if slop is not None:
+        meets = meets | (F.abs(distance) <= slop)
+    met = heads.join(tails, same_text(heads, tails) & (heads["partner"] == tails["name"]) & (heads["cell"] == tails["there"]) & meets, "left_semi")
+    return materialize(met.groupBy("id", "text_key").agg(F.collect_set(F.struct("term", "partner", "delta", "pos")).alias("places")), "meetings")
+
+
+def matches(texts: DataFrame, met: DataFrame, chosen: DataFrame, slop: int | None) -> DataFrame:
+    """Phrase and proximity matches where lists meet. texts: id, text_key, text."""
+    named = met.select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), "places")
+    held = texts.join(named, texts["id"].eqNullSafe(named["__id"]) & (texts["text_key"] == named["__key"]))
+    held = held.select("id", "text_key", words_of(F.col("text")).alias("words"), "places").select("id", "text_key", "words", F.explode("places").alias("place"))
+    begin, pos = F.col("place.pos") - F.col("offset"), F.col("place.pos")
     phrase = (begin >= 0) & (F.slice("words", F.greatest(begin, F.lit(0)) + 1, F.size("wanted")) == F.col("wanted"))
-    near = F.lit(False)
+    near = phrase
     if slop is not None:
-        first = F.greatest(F.col("pos") - slop, F.lit(0))
-        near = F.size(F.array_except("wanted", F.slice("words", first + 1, F.col("pos") - first + slop + 1))) == 0
+        first = F.greatest(pos - slop, F.lit(0))
+        near = phrase | (F.size(F.array_except("wanted", F.slice("words", first + 1, pos - first + slop + 1))) == 0)
     parts = []
-    for k, block in enumerate(blocks_of(chosen, F.octet_length(F.concat_ws(" ", "wanted", "items")) + 64, "term")):
-        block = F.broadcast(block.unionByName(ending)) if k == 0 else block
-        joined = postings.join(block, (postings["term"] == block["term"]) & (block["wanted"].isNull() | phrase | near))
-        hit = block["wanted"].isNotNull() & phrase
-        parts.append(joined.select(*carried, F.when(block["wanted"].isNull(), F.col("pos")).alias("ends"), F.when(hit, F.struct(begin.alias("begin"), F.size("wanted").alias("n"))).alias("span"), F.when(hit, F.col("items")).alias("found"), F.col("items").alias("near")))
+    for block in blocks_of(chosen, F.octet_length(F.concat_ws(" ", "wanted", "items")) + 64, "wanted"):
+        same = (F.col("place.term") == block["term"]) & (F.col("place.partner") == block["partner"]) & (F.col("place.delta") == block["delta"])
+        parts.append(held.join(block, same & near).select("id", "text_key", F.when(phrase, F.struct(begin.alias("begin"), F.size("wanted").alias("n"))).alias("span"), F.when(phrase, F.col("items")).alias("found"), F.col("items").alias("near")))
     return union(parts)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, slop: int | None = 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """For each row of ``docs``: id, ``text_key`` (a hash of the text), ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``,
-    ``contaminated``, ``spans`` (begin, n words) and ``n_near_items`` (items with proximity matches)."""
+    ``contaminated``, ``spans`` (begin, n words) and ``n_near_items`` (items with phrase or proximity matches)."""
     text = F.col(f"`{text_col}`").cast("string")
-    cut = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_key"), words_of(text).alias("words"))
-    chosen = pivots(cut.select("words"), benchmark_windows(items, window, item_col, item_text_col))
-    found = matches(cut, chosen, slop).groupBy("id", "text_key").agg(
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    cut = texts.select("id", "text_key", words_of(F.col("text")).alias("words"))
+    chosen = plan(cut.select("words"), benchmark_windows(items, window, item_col, item_text_col))
+    terms = materialize(chosen.select("term").union(chosen.select("partner")).distinct(), "listed")
+    index = postings(cut, terms)
+    met = meetings(index, chosen, max(window, slop or 0), slop)
+    hits = matches(texts, met, chosen, slop)
+    ends = index.where("term = ''").select("id", "text_key", F.col("pos").alias("ends"))
+    found = ends.unionByName(hits, allowMissingColumns=True).groupBy("id", "text_key").agg(
         F.count("ends").cast("int").alias("rows"),
         F.max("ends").alias("n_words"),
         F.collect_set("span").alias("spans"),
@@ -117,10 +156,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, slop: int
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
-    """Words of ``documents`` inside 10-word windows of ``benchmark`` items."""
+    """Words of ``documents`` inside 10-word windows of ``benchmark`` items, and how many items have
+    all words of a window within 20 words of its rarest."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate(docs, items).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return decontaminate(docs, items).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near_items")
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -138,7 +178,13 @@ here AS (
 ),
 hit AS (SELECT doc_id, s, here.n, item_id FROM here JOIN win ON here.t = win.t AND here.n = win.n),
 covered AS (SELECT doc_id, count(DISTINCT s + k) AS n_hit FROM hit, range(0, 10) r(k) WHERE k < n GROUP BY doc_id),
+counts AS (SELECT x, count(*) AS seen FROM (SELECT unnest(w) AS x FROM d) GROUP BY x),
+terms AS (SELECT t, unnest(string_split(t, ' ')) AS x, generate_subscripts(string_split(t, ' '), 1) AS o FROM (SELECT DISTINCT t FROM win)),
+rarest AS (SELECT t, x FROM (SELECT t, x, seen, row_number() OVER (PARTITION BY t ORDER BY coalesce(seen, 0), o) AS r FROM terms LEFT JOIN counts USING (x)) WHERE r = 1 AND seen > 0),
+posting AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+beside AS (SELECT DISTINCT doc_id, t FROM posting JOIN rarest USING (x) JOIN d USING (doc_id) WHERE list_has_all(w[greatest(p - 20, 1):p + 20], string_split(t, ' '))),
+near AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM (SELECT doc_id, item_id FROM beside JOIN win USING (t) UNION ALL SELECT doc_id, item_id FROM hit) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS list FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id)
-SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near_items
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """
