@@ -258,17 +258,46 @@ def test_proximity(spark):
 def test_sharding(docs, none, spark):
     got = sharding.shard_documents(docs).collect()
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in ROWS)
-    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "the same").otherwise(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"))
-    got = sharding.shard_documents(many).collect()
-    sizes, slots = Counter(), defaultdict(list)
-    for r in got:
-        sizes[r["shard"]] += r["size"]
-        slots[r["shard"]].append(r["slot"])
-    assert len(sizes) == 16 and max(sizes.values()) < 1.05 * min(sizes.values())
-    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    for same in ("the same", None):
+        many = spark.range(3000).select(F.when(F.lit(same is not None), F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, same).otherwise(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"))
+        got = sharding.shard_documents(many).collect()
+        sizes, slots, shards = Counter(), defaultdict(list), defaultdict(set)
+        for r in got:
+            sizes[r["shard"]] += r["size"]
+            slots[r["shard"]].append(r["slot"])
+            shards[r["text_crc32"]].add(r["shard"])
+        assert len(sizes) == 16 and max(sizes.values()) < 1.05 * min(sizes.values())
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+        hot = zlib.crc32((same or "").encode())
+        # a third of all rows are more than a shard's share, so in parts; all others are whole
+        assert len(shards.pop(hot)) > 5 and set(map(len, shards.values())) == {1}
     assert sharding.shard_documents(none).count() == 0
 
 
+def test_sharding_replayed_by_brute_force(spark):
+    r = np.random.default_rng(6)
+    texts = [" ".join("w" * int(r.integers(1, 9)) for _ in range(int(r.lognormal(3, 0.7)) + 1)) for _ in range(150)]
+    texts = [t for t in texts for _ in range(int(r.integers(1, 6)))] + ["", None, "tie a", "tie b", "tie c"]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA).withColumn("group", F.lit("clash")).repartition(3)
+    vectors: dict[str, list[int]] = {}
+    for t in texts:
+        v = vectors.setdefault(t or "", [0, 0, 0])
+        v[0], v[1], v[2] = v[0] + len((t or "").encode()) + 1, v[1] + (len(t.split(" ")) if t else 0), v[2] + 1
+    totals = [sum(v[k] for v in vectors.values()) for k in range(3)]
+    share = {t: [x / y for x, y in zip(v, totals, strict=True)] for t, v in vectors.items()}
+    assert all(max(s) * 16 <= 1 for s in share.values())  # every group fits a shard
+    weight = lambda s: 4 * s[0] + s[1] + s[2]
+    left, place = [[1 / 16] * 3 for _ in range(16)], {}
+    for t in sorted(share, key=lambda t: (-round(weight(share[t]), 14), hashlib.md5(t.encode()).hexdigest())):
+        s = share[t]
+        product = [4 * s[0] * b[0] + s[1] * b[1] + s[2] * b[2] for b in left]
+        place[t] = best = max(range(16), key=lambda b: (round(product[b], 16), -b))
+        left[best] = [x - y for x, y in zip(left[best], s, strict=True)]
+    got = sharding.shard_documents(df).collect()
+    assert len(got) == len(texts)
+    assert [(r["doc_id"], r["shard"]) for r in got if r["shard"] != place[texts[r["doc_id"]] or ""]] == []
+
+
 def test_token_tables(docs, none):
     from tokenizers import Tokenizer
 
