@@ -7,13 +7,13 @@ words is one window. Steps:
 2. how often each of their words occurs in the whole corpus (a partial count on the map side), and
    of each window its two rarest words with their offsets, the pivot and the partner; windows with a
    word that never occurs are out;
-3. the index: the postings (document, term, position) of pivots and partners, written to the shared
-   folder, with one more for each document that says where it ends;
+3. the index: the postings (document, term, position) of pivots and partners, those of pivots with
+   the words around, written to the shared folder, and one more for each document's end;
 4. the lists of each pair of pivot and partner are intersected, adjusted by their offsets: both must
    stand as they do in the window or, for proximity, within ``slop`` words of each other. Lists meet
    by document, term and a cell of positions, so no list is in one task;
-5. where lists meet, the other words are held against the document: in a phrase match they follow in
-   order; in a proximity match all words of the window are within ``slop`` words of the pivot;
+5. where lists meet, the other words of the window are held against those around the pivot: in a
+   phrase match they stand in order; in a proximity match all are within ``slop`` words of the pivot;
 6. matches are gathered by document, as sets of spans.
 
 Tables of benchmark terms, pairs and windows are broadcast only up to ``BROADCAST_BYTES``; a larger
@@ -84,50 +84,48 @@ def plan(docs_words: DataFrame, windows: DataFrame) -> DataFrame:
     return materialize(order.where(pivot["n"] > 0).select(*[c.alias(n) for n, c in columns.items()]), "plan")
 
 
-def postings(docs_words: DataFrame, terms: DataFrame) -> DataFrame:
-    """The index: id, text_key, term, pos. The empty word, which no text has, stands at the end."""
-    every = docs_words.select("id", "text_key", F.posexplode(F.concat("words", F.array(F.lit("")))).alias("pos", "term"))
-    ending = docs_words.sparkSession.range(1).select(F.lit("").alias("term"))
+def postings(docs_words: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
+    """The index: id, text_key, term, pos; of a pivot also ``around``, the words up to ``reach`` words
+    before and behind, ``lead`` of them before. The empty word, which no text has, stands at the end."""
+    every = docs_words.select("id", "text_key", "words", F.posexplode(F.concat("words", F.array(F.lit("")))).alias("pos", "term"))
+    ending = docs_words.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(False).alias("pivot"))
     blocks = blocks_of(terms, F.octet_length("term") + 16, "term")
     blocks[0] = F.broadcast(blocks[0].unionByName(ending))
-    return materialize(union([every.join(b, "term") for b in blocks]).select("id", "text_key", "term", "pos"), "postings")
-
-
-def same_text(a: DataFrame, b: DataFrame) -> Column:
-    return a["id"].eqNullSafe(b["id"]) & (a["text_key"] == b["text_key"])
+    lead = F.least("pos", F.lit(reach))
+    around = F.when(F.col("pivot"), F.slice("words", F.col("pos") - lead + 1, lead + reach + 1))
+    return materialize(union([every.join(b, "term") for b in blocks]).select("id", "text_key", "term", "pos", lead.alias("lead"), around.alias("around")), "postings")
 
 
 def meetings(index: DataFrame, chosen: DataFrame, reach: int, slop: int | None) -> DataFrame:
-    """For each document with any, the places where the lists of a pivot and a partner meet."""
+    """The places where the lists of a pivot and a partner meet: id, text_key, term, partner, delta,
+    pos, lead, around."""
     cell = 8 * reach
     pairs = materialize(chosen.select("term", "partner", "delta").distinct(), "pairs")
     heads = union([index.join(b, "term") for b in blocks_of(pairs, F.octet_length("term") + F.octet_length("partner") + 16, "term")])
     cells = F.array_distinct(F.array(*[F.floor((F.col("pos") + d) / cell) for d in (-reach, reach)]))
-    heads = heads.select("id", "text_key", "term", "partner", "delta", "pos", F.explode(cells).alias("cell"))
-    tails = index.where("term <> ''").select("id", "text_key", F.col("term").alias("name"), F.col("pos").alias("at"), F.floor(F.col("pos") / cell).alias("there"))
-    distance = tails["at"] - heads["pos"]
-    meets = distance == heads["delta"]
+    heads = heads.select("id", "text_key", "term", "partner", "delta", "pos", "lead", "around", F.explode(cells).alias("cell"))
+    tails = index.where("term <> ''").select(F.col("id").alias("of"), F.col("text_key").alias("key"), F.col("term").alias("name"), F.col("pos").alias("at"), F.floor(F.col("pos") / cell).alias("there"))
+    meets = F.col("at") - F.col("pos") == F.col("delta")
     if slop is not None:
-        meets = meets | (F.abs(distance) <= slop)
-    met = heads.join(tails, same_text(heads, tails) & (heads["partner"] == tails["name"]) & (heads["cell"] == tails["there"]) & meets, "left_semi")
-    return materialize(met.groupBy("id", "text_key").agg(F.collect_set(F.struct("term", "partner", "delta", "pos")).alias("places")), "meetings")
-
-
-def matches(texts: DataFrame, met: DataFrame, chosen: DataFrame, slop: int | None) -> DataFrame:
-    """Phrase and proximity matches where lists meet. texts: id, text_key, text."""
-    named = met.select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), "places")
-    held = texts.join(named, texts["id"].eqNullSafe(named["__id"]) & (texts["text_key"] == named["__key"]))
-    held = held.select("id", "text_key", words_of(F.col("text")).alias("words"), "places").select("id", "text_key", "words", F.explode("places").alias("place"))
-    begin, pos = F.col("place.pos") - F.col("offset"), F.col("place.pos")
-    phrase = (begin >= 0) & (F.slice("words", F.greatest(begin, F.lit(0)) + 1, F.size("wanted")) == F.col("wanted"))
+        meets = meets | (F.abs(F.col("at") - F.col("pos")) <= slop)
+    same = heads["id"].eqNullSafe(tails["of"]) & (F.col("text_key") == F.col("key")) & (F.col("partner") == F.col("name")) & (F.col("cell") == F.col("there"))
+    # both sides grow with the corpus, so neither is broadcast
+    return heads.join(tails.hint("merge"), same & meets, "left_semi")
+
+
+def matches(met: DataFrame, chosen: DataFrame, slop: int | None) -> DataFrame:
+    """Phrase and proximity matches where lists meet."""
+    begin = F.col("lead") - F.col("offset")
+    phrase = (begin >= 0) & (F.slice("around", F.greatest(begin, F.lit(0)) + 1, F.size("wanted")) == F.col("wanted"))
     near = phrase
     if slop is not None:
-        first = F.greatest(pos - slop, F.lit(0))
-        near = phrase | (F.size(F.array_except("wanted", F.slice("words", first + 1, pos - first + slop + 1))) == 0)
+        first = F.greatest(F.col("lead") - slop, F.lit(0))
+        near = phrase | (F.size(F.array_except("wanted", F.slice("around", first + 1, F.col("lead") - first + slop + 1))) == 0)
     parts = []
     for block in blocks_of(chosen, F.octet_length(F.concat_ws(" ", "wanted", "items")) + 64, "wanted"):
-        same = (F.col("place.term") == block["term"]) & (F.col("place.partner") == block["partner"]) & (F.col("place.delta") == block["delta"])
-        parts.append(held.join(block, same & near).select("id", "text_key", F.when(phrase, F.struct(begin.alias("begin"), F.size("wanted").alias("n"))).alias("span"), F.when(phrase, F.col("items")).alias("found"), F.col("items").alias("near")))
+        joined = met.join(block.withColumnsRenamed({"term": "t", "partner": "p", "delta": "d"}), (F.col("term") == F.col("t")) & (F.col("partner") == F.col("p")) & (F.col("delta") == F.col("d")) & near)
+        span = F.struct((F.col("pos") - F.col("offset")).alias("begin"), F.size("wanted").alias("n"))
+        parts.append(joined.select("id", "text_key", F.when(phrase, span).alias("span"), F.when(phrase, F.col("items")).alias("found"), F.col("items").alias("near")))
     return union(parts)
 
 
@@ -135,13 +133,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, slop: int
     """For each row of ``docs``: id, ``text_key`` (a hash of the text), ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``,
     ``contaminated``, ``spans`` (begin, n words) and ``n_near_items`` (items with phrase or proximity matches)."""
     text = F.col(f"`{text_col}`").cast("string")
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    cut = texts.select("id", "text_key", words_of(F.col("text")).alias("words"))
+    cut = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_key"), words_of(text).alias("words"))
     chosen = plan(cut.select("words"), benchmark_windows(items, window, item_col, item_text_col))
-    terms = materialize(chosen.select("term").union(chosen.select("partner")).distinct(), "listed")
-    index = postings(cut, terms)
-    met = meetings(index, chosen, max(window, slop or 0), slop)
-    hits = matches(texts, met, chosen, slop)
+    listed = chosen.select("term", F.lit(True).alias("pivot")).union(chosen.select("partner", F.lit(False)))
+    terms = materialize(listed.groupBy("term").agg(F.max("pivot").alias("pivot")), "listed")
+    reach = max(window, slop or 0)
+    index = postings(cut, terms, reach)
+    hits = matches(meetings(index, chosen, reach, slop), chosen, slop)
     ends = index.where("term = ''").select("id", "text_key", F.col("pos").alias("ends"))
     found = ends.unionByName(hits, allowMissingColumns=True).groupBy("id", "text_key").agg(
         F.count("ends").cast("int").alias("rows"),
