@@ -33,7 +33,7 @@ def collapse(c: Column) -> Column:
 
 def tokens(c: Column) -> Column:
     """The words between white space, in order, repeats kept."""
-    return F.filter(F.split(as_text(c), f"{W}+"), lambda t: t != "")
+    return F.array_remove(F.split(as_text(c), f"{W}+"), "")
 
 
 def join(words: Column) -> Column:
@@ -175,7 +175,13 @@ def clean_english(c: Column, stopwords=L.ENGLISH_STOPWORDS, effective_contractio
 def strip_placeholders(c: Column, terms) -> tuple[Column, Column]:
     """The text without placeholder terms, and how many there were. Neighbours share a space, so the
     second of two stays."""
-    plain = c = collapse(c)
+    c = collapse(c)
+    return replace_placeholders(c, terms)
+
+
+def replace_placeholders(c: Column, terms) -> tuple[Column, Column]:
+    """As strip_placeholders, of a text whose white space is collapsed."""
+    plain = c
     found, count = c.rlike("(?iu)" + "|".join(sorted(terms))), F.lit(0)
     for term in sorted(terms):
         pattern = rf"(?iu)(^|{W}){re.escape(term).replace(chr(92) + ' ', ' ')}({W}|$)"
@@ -195,9 +201,15 @@ def without_repeats(words: Column) -> Column:
 
 def collapse_repeats(c: Column) -> tuple[Column, Column]:
     """The text without repeats, and how many words went."""
-    words = tokens(c)
+    return drop_repeats(join(tokens(c)))
+
+
+def drop_repeats(c: Column) -> tuple[Column, Column]:
+    """As collapse_repeats, of a text whose white space is collapsed. One look finds the texts that
+    have a repeat; only those are cut into words."""
+    found, words = c.rlike(r"(?<![^ ])([^ ]{3,}) \1(?![^ ])"), F.split(c, " ")
     kept = without_repeats(words)
-    return join(kept), F.size(words) - F.size(kept)
+    return F.when(found, join(kept)).otherwise(c), F.when(found, F.size(words) - F.size(kept)).otherwise(0)
 
 
 def for_similarity(c: Column, entities: bool = True) -> Column:
@@ -221,12 +233,16 @@ def _any_of(c: Column, words) -> Column:
 
 
 def looks_like_metadata(c: Column) -> Column:
+    return reads_like_metadata(F.lower(collapse(c)))
+
+
+def reads_like_metadata(c: Column) -> Column:
+    """As looks_like_metadata, of a lower-case text whose white space is collapsed."""
     # whatever matches has one of these; the rest is computed for few rows
-    likely = as_text(c).rlike("(?i)" + "|".join((*L.TARGETS, *L.METADATA_LANGUAGES)))
-    c = F.lower(collapse(c))
+    likely = _any_of(c, (*L.TARGETS, *L.METADATA_LANGUAGES))
     names = sum((c.contains(n).cast("int") for n in L.TARGETS), F.lit(0))
     listed = c.isin(",".join(L.TARGETS), ";".join(L.TARGETS))
-    remarks = (word_count(c) >= 6) & _any_of(c, L.METADATA_ACTIONS) & _any_of(c, L.METADATA_LANGUAGES)
+    remarks = (F.size(F.split(c, " ")) >= 6) & _any_of(c, L.METADATA_ACTIONS) & _any_of(c, L.METADATA_LANGUAGES)
     return likely & (listed | (names >= 3) | remarks)
 
 

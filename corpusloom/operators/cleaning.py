@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from corpusloom.functions import text as X
 
 @dataclass(frozen=True)
 class CleaningOptions:
-    english_normalization: str = "none"  # none or stem; lemma needs a dictionary that is not here, and changes nothing
+    english_normalization: str = "none"  # none, stem or lemma; a lemma needs a dictionary that is not here: a warning
     expand_contractions: bool = False
     split_arabic_clitics: bool = False
     split_darija_negation: bool = False
@@ -32,6 +33,17 @@ class CleaningOptions:
     darija_stopwords: tuple[str, ...] = L.DARIJA_STOPWORDS
     arabizi_stopwords: tuple[str, ...] = L.ARABIZI_STOPWORDS
 
+    def __post_init__(self):
+        if self.english_normalization not in ("none", "stem", "lemma"):
+            raise ValueError(f"unknown normalization: {self.english_normalization}")
+        if self.english_normalization == "lemma":
+            warnings.warn("no dictionary of lemmas is at hand; English words stay as they are", stacklevel=2)
+
+
+def listed(words: str) -> tuple[str, ...]:
+    """Stop words from a list with commas, trimmed and in lower case."""
+    return tuple(w for w in (part.strip().lower() for part in words.split(",")) if w)
+
 
 def require_columns(df: DataFrame, columns=L.TARGETS) -> None:
     missing = [c for c in columns if c not in df.columns]
@@ -49,13 +61,23 @@ def cleaned_columns(o: CleaningOptions) -> dict[str, Column]:
     }
 
 
-def drop_reason(df: DataFrame, o: CleaningOptions) -> Column:
-    """The first filter that a cleaned row fails; null for a row that stays."""
+def require_text(df: DataFrame, columns=L.TARGETS) -> DataFrame:
+    """The rows without a blank cell in ``columns``, which must be there."""
+    require_columns(df, columns)
+    blank = F.lit(False)
+    for c in columns:
+        blank = blank | X.is_blank(F.col(c))
+    return df.where(~blank)
+
+
+def drop_reason(df: DataFrame, o: CleaningOptions, lower: str = "") -> Column:
+    """The first filter that a cleaned row fails; null for a row that stays. Cleaned texts have single
+    spaces; columns that begin with ``lower``, if named, are the texts in lower case."""
     never = F.lit(False)
     metadata = never if o.keep_metadata else F.expr("false")
     if not o.keep_metadata:
         for c in L.TARGETS:
-            metadata = metadata | X.looks_like_metadata(F.col(c))
+            metadata = metadata | X.reads_like_metadata(F.col(f"{lower}{c}") if lower else F.lower(c))
     leakage = never if o.keep_leakage else X.has_darija_marker(F.col("modern_standard_arabic"))
     status = F.upper(F.trim(X.as_text(F.col("status")))).isin(*o.drop_statuses) if "status" in df.columns and o.drop_statuses else never
     empty = F.expr(" OR ".join(f"{c} = ''" for c in L.TARGETS))
@@ -64,28 +86,36 @@ def drop_reason(df: DataFrame, o: CleaningOptions) -> Column:
 
 def clean_corpus(df: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
     """Every row with cleaned columns, ``drop_reason``, ``placeholders_removed``, ``repeats_removed``
-    and, where there is an ``english_word_count``, its new value and whether it changed. Filter on
-    ``drop_reason`` after a persist: a filter on a computed column would compute it twice."""
+    and, where there is an ``english_word_count``, its new value and whether it changed. Take rows by
+    ``kept`` or ``chosen``: a filter on a computed column would compute it twice."""
     require_columns(df)
-    out = df.withColumns(cleaned_columns(options))
-    out = out.withColumn("drop_reason", drop_reason(out, options))
     # a projection for each step, so that no step's text is computed more than once
-    terms = {c: X.strip_placeholders(F.col(c), L.PLACEHOLDERS[c]) for c in L.TARGETS}
-    out = out.withColumns({f"__text_{c}": t for c, (t, _) in terms.items()} | {"placeholders_removed": sum((n for _, n in terms.values()), F.lit(0))})
-    out = out.withColumns({f"__words_{c}": X.tokens(F.col(f"__text_{c}")) for c in L.TARGETS})
-    out = out.withColumns({f"__kept_{c}": X.without_repeats(F.col(f"__words_{c}")) for c in L.TARGETS})
+    out = df.withColumns(cleaned_columns(options))
+    out = out.withColumns({f"__low_{c}": F.lower(c) for c in L.TARGETS})
+    terms = {c: X.replace_placeholders(F.col(c), L.PLACEHOLDERS[c]) for c in L.TARGETS}
+    removed = {"placeholders_removed": sum((n for _, n in terms.values()), F.lit(0))}
+    out = out.withColumns({"drop_reason": drop_reason(out, options, "__low_")} | removed | {f"__text_{c}": t for c, (t, _) in terms.items()})
     stays = F.col("drop_reason").isNull()
-    repeats = sum((F.size(f"__words_{c}") - F.size(f"__kept_{c}") for c in L.TARGETS), F.lit(0))
-    out = out.withColumns({c: F.when(stays, X.join(F.col(f"__kept_{c}"))).otherwise(F.col(c)) for c in L.TARGETS} | {"repeats_removed": repeats})
-    out = out.drop(*[f"__{k}_{c}" for k in ("text", "words", "kept") for c in L.TARGETS])
+    single = {c: X.drop_repeats(F.col(f"__text_{c}")) for c in L.TARGETS}
+    repeats = sum((n for _, n in single.values()), F.lit(0))
+    out = out.withColumns({c: F.when(stays, t).otherwise(F.col(c)) for c, (t, _) in single.items()} | {"repeats_removed": repeats})
+    out = out.drop(*[f"__{k}_{c}" for k in ("text", "low") for c in L.TARGETS])
     if "english_word_count" in df.columns:
         before = F.coalesce(F.expr("try_cast(english_word_count as int)"), F.lit(-1))
         out = out.withColumn("word_count_changed", before != X.word_count(F.col("english"))).withColumn("english_word_count", X.word_count(F.col("english")))
     return out.drop("qc_changed_fields", "qc_notes")
 
 
+def chosen(cleaned: DataFrame, keep: Column, columns) -> DataFrame:
+    """The rows where ``keep`` holds. A plain filter would be pushed below the projections, and with
+    it a second copy of all cleaning; through an array of at most one row it stays where it is."""
+    row = F.when(keep, F.array(F.struct(*columns)))
+    return cleaned.select(F.explode_outer(row).alias("row")).where("row is not null").select("row.*")
+
+
 def kept(cleaned: DataFrame) -> DataFrame:
-    return cleaned.where("drop_reason is null").drop("drop_reason", "placeholders_removed", "repeats_removed", "word_count_changed")
+    columns = [c for c in cleaned.columns if c not in ("drop_reason", "placeholders_removed", "repeats_removed", "word_count_changed")]
+    return chosen(cleaned, F.col("drop_reason").isNull(), columns)
 
 
 def stage_counts(cleaned: DataFrame) -> DataFrame:
@@ -104,11 +134,13 @@ def stage_counts(cleaned: DataFrame) -> DataFrame:
 
 def top_words(df: DataFrame, column: str, order: str, n: int = 100) -> DataFrame:
     """The n most frequent words, ties to the one seen first. Map-side sums, then a top-k."""
-    words = df.select(F.col(order).alias("row"), F.posexplode(X.tokens(F.col(column))).alias("pos", "word"))
+    # the outer form: of the other one a filter on the size of the array is inferred and pushed down
+    words = df.select(F.col(order).alias("row"), F.posexplode_outer(X.tokens(F.col(column))).alias("pos", "word")).where("word is not null")
     counted = words.groupBy("word").agg(F.count("*").alias("count"), F.min(F.struct("row", "pos")).alias("first"))
     return counted.orderBy(F.desc("count"), "first").limit(n).select("word", "count")
 
 
 def top_words_before_empty(cleaned: DataFrame, column: str, order: str, n: int = 100) -> DataFrame:
     """As the cleaner counts them: after the other filters, before rows with empty columns go."""
-    return top_words(cleaned.where("drop_reason is null or drop_reason = 'empty'"), column, order, n)
+    stays = F.coalesce(F.col("drop_reason") == "empty", F.lit(True))
+    return top_words(cleaned.select(order, F.when(stays, F.col(column)).alias(column)), column, order, n)

@@ -3,6 +3,8 @@ thresholds; how the flags were computed is not public, so these are definitions
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,32 @@ from corpusloom.functions import arabic as A
 from corpusloom.functions import text as X
 
 
+@dataclass(frozen=True)
+class ProfileOptions:
+    """Options that reports of the later cleaner name; what each does is inferred from its name."""
+
+    final_taa: str = "keep"  # haa: a final ta marbuta becomes ha
+    normalize_hamza: bool = False
+    g_standard: str = "ڭ"
+    v_standard: str = "ف"
+    laugh_token: str | None = "<LAUGH>"
+    least_words: int = 1
+    most_words: int = 180
+    missing: str = "flag"  # or remove
+
+
+def standardize(c: Column, o: ProfileOptions = ProfileOptions()) -> Column:
+    """Arabic-script spelling by the options: letters for g and v, final taa, hamza, laughter."""
+    c = F.translate(X.as_text(c), "گڨݣڤپ", o.g_standard * 3 + o.v_standard + "ب")
+    if o.normalize_hamza:
+        c = F.translate(c, "أإآؤئ", "اااوي")
+    if o.final_taa == "haa":
+        c = X.sub(c, f"ة({X.W}|$)", "ه$1")
+    if o.laugh_token:
+        c = X.sub(c, f"(^|{X.W})(?:[هخ]{{3,}}|(?i:(?:ha){{2,}}h?|(?:kh){{2,}}|lo+l))({X.W}|$)", f"$1{o.laugh_token}$2")
+    return c
+
+
 def has_latin(c: Column) -> Column:
     return X.as_text(c).rlike("[A-Za-z]")
 
@@ -42,8 +70,9 @@ def incoherence(most: float = 0.8) -> Column:
     return F.when(longest > 0, F.levenshtein(a, b) / longest > most).otherwise(False)
 
 
-def flag_rows(df: DataFrame, least: int = 1, most: int = 1000, coherence: bool = True) -> DataFrame:
-    """``issues`` (several are possible) and ``row_status``: REMOVED, FLAGGED or CLEAN."""
+def flag_rows(df: DataFrame, least: int = 1, most: int = 1000, coherence: bool = True, missing: str = "remove") -> DataFrame:
+    """``issues`` (several are possible) and ``row_status``: REMOVED, FLAGGED or CLEAN. Rows out of the
+    bounds of words are removed or, if ``missing`` is flag, flagged."""
     flags = {
         "darija_arabic_contains_latin": has_latin(F.col("darija_arabic")),
         "msa_contains_latin": has_latin(F.col("modern_standard_arabic")),
@@ -54,4 +83,4 @@ def flag_rows(df: DataFrame, least: int = 1, most: int = 1000, coherence: bool =
         flags["darija_arabizi_incoherence"] = incoherence()
     issues = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))
     out = df.withColumns({"issues": issues, "out_of_bounds": word_bounds(L.TARGETS, least, most)})
-    return out.withColumn("row_status", F.when(F.col("out_of_bounds"), "REMOVED").when(F.size("issues") > 0, "FLAGGED").otherwise("CLEAN"))
+    return out.withColumn("row_status", F.when(F.col("out_of_bounds"), "FLAGGED" if missing == "flag" else "REMOVED").when(F.size("issues") > 0, "FLAGGED").otherwise("CLEAN"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import lexicon as L
@@ -10,9 +10,11 @@ from corpusloom.functions import text as X
 
 
 def keep_one(df: DataFrame, key: str, order: str, last: bool = True) -> DataFrame:
-    """One row for each key: the last by ``order``, or the first."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order) if last else F.asc(order)))
-    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    """One row for each key: the last by ``order``, or the first. An aggregate, so that the rows of a
+    hot key, or of no key, are reduced before they move."""
+    pick = F.max_by if last else F.min_by
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(F.col(f"`{key}`").alias("__key")).agg(pick(whole, F.struct(order)).alias("__row")).select("__row.*")
 
 
 def row_identity() -> Column:
@@ -40,7 +42,7 @@ def merge_halves(base: DataFrame, first: DataFrame, last: DataFrame, key: str, h
     says which it was."""
     overrides = []
     for name, df in (("first", first), ("last", last)):
-        one = keep_one(df, key, "row_index").select(F.col(key).alias(key), F.struct(*columns).alias(name))
+        one = keep_one(df.select(key, "row_index", *columns), key, "row_index").select(F.col(key).alias(key), F.struct(*columns).alias(name))
         overrides.append(one)
     joined = base.join(overrides[0], key, "left").join(overrides[1], key, "left")
     early = F.col("row_index") <= half
@@ -63,9 +65,11 @@ def match_counts(base: DataFrame, first: DataFrame, last: DataFrame, key: str, h
     return out[0].unionByName(out[1])
 
 
-def upsert(base: DataFrame, changes: DataFrame, key: str, columns) -> DataFrame:
-    """``base`` with ``columns`` of ``changes`` where it has the key; ``updated`` says so."""
-    new = changes.select(F.col(key), F.struct(*columns).alias("__new"))
+def upsert(base: DataFrame, changes: DataFrame, key: str, columns, order: str | None = None) -> DataFrame:
+    """``base`` with ``columns`` of ``changes`` where it has the key; ``updated`` says so. Of changes
+    that share a key the last by ``order`` counts, else the greatest by its values."""
+    values = F.struct(*columns)
+    new = changes.groupBy(key).agg(F.max_by(values, F.struct(order) if order else values).alias("__new"))
     joined = base.join(new, key, "left")
     return joined.withColumns({c: F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)) for c in columns} | {"updated": F.col("__new").isNotNull()}).drop("__new")
 

@@ -16,7 +16,12 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> Da
     """Counts of equal bins from the least to the greatest value, the last one closed."""
     keys = [by] if by else []
     bounds = df.groupBy(*keys).agg(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"))
-    both = df.where(F.col(value).isNotNull()).join(F.broadcast(bounds), by) if by else df.where(F.col(value).isNotNull()).crossJoin(bounds)  # one row
+    known = df.where(F.col(value).isNotNull())
+    if by:
+        bounds = bounds.withColumnRenamed(by, "__by")
+        both = known.join(bounds, F.col(by).eqNullSafe(F.col("__by")))
+    else:
+        both = known.crossJoin(bounds)  # one row
     place = F.floor((F.col(value) - F.col("low")) / ((F.col("high") - F.col("low")) / bins))
     at = F.when(F.col("high") > F.col("low"), F.least(place, F.lit(bins - 1))).otherwise(0).cast("int")
     return both.withColumn("bin", at).groupBy(*keys, "bin").agg(F.count("*").alias("count"))
@@ -27,8 +32,8 @@ def boxplot(df: DataFrame, value: str, by: str) -> DataFrame:
     q = df.groupBy(by).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
     q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     inside = F.col(value).between(F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    ends = df.join(F.broadcast(q), by).where(inside).groupBy(by).agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))
-    return q.join(ends, by)
+    ends = df.join(q.withColumnRenamed(by, "__by"), F.col(by).eqNullSafe(F.col("__by"))).where(inside).groupBy(F.col(by).alias("__of")).agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))
+    return q.join(ends, F.col(by).eqNullSafe(F.col("__of"))).drop("__of")
 
 
 def length_stats(df: DataFrame, value: str, by: str, decimals: int = 2) -> DataFrame:
@@ -36,8 +41,10 @@ def length_stats(df: DataFrame, value: str, by: str, decimals: int = 2) -> DataF
     return df.groupBy(by).agg(*[F.round(v, decimals).cast("double").alias(k) for k, v in stats.items()])
 
 
-def spread_stats(df: DataFrame, value: str, by: str, decimals: int = 4) -> DataFrame:
-    stats = {"mean": F.avg(value), "median": F.median(value), "std": F.stddev_samp(value), "min": F.min(value), "max": F.max(value)}
+def spread_stats(df: DataFrame, value: str, by: str, decimals: int = 4, exact: bool = True) -> DataFrame:
+    """An exact median holds a group's distinct values in one task; without ``exact`` it is a sketch's."""
+    median = F.median(value) if exact else F.approx_percentile(value, 0.5, 10_000)
+    stats = {"mean": F.avg(value), "median": median, "std": F.stddev_samp(value), "min": F.min(value), "max": F.max(value)}
     return df.groupBy(by).agg(F.count(value).alias("count"), *[F.round(v, decimals).cast("double").alias(k) for k, v in stats.items()])
 
 
@@ -112,6 +119,12 @@ def change_rates(compared: DataFrame, columns) -> DataFrame:
     return cells.groupBy("column").agg(F.sum("changed").alias("changed_rows"), F.count("*").alias("compared_rows"), F.round(100.0 * F.sum("changed") / F.count("*"), 2).alias("change_rate"))
 
 
+def change_rates_in(df: DataFrame, after: dict[str, Column]) -> DataFrame:
+    """As change_rates, where the new values come from the same rows: one projection, no join."""
+    both = df.select(*[F.col(c).alias(f"source_{c}") for c in after], *[v.alias(f"cleaned_{c}") for c, v in after.items()])
+    return change_rates(both, tuple(after))
+
+
 def outer_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     """Two tables of value and count, side by side, absent values as 0."""
     return left.withColumnRenamed("count", "source").join(right.withColumnRenamed("count", "cleaned"), "value", "full").na.fill(0, ["source", "cleaned"])
@@ -151,6 +164,28 @@ def anomalies(df: DataFrame) -> DataFrame:
     return conditional_counts(df, {"arabizi_digits": X.has_arabizi_digit(F.col("darija_arabizi")), **blank})
 
 
+def anomalies_after(df: DataFrame, before: dict[str, str]) -> DataFrame:
+    """Digits for letters in the Arabic Darija field and blank fields, before and after a correction;
+    before: the column that holds each field's old value."""
+    fields = ("darija_arabic", "darija_arabizi", "modern_standard_arabic")
+    blanks = lambda name: sum((X.is_blank(F.col(name(c))).cast("long") for c in fields), F.lit(0))
+    return df.agg(
+        F.count_if(X.has_arabizi_digit(F.col(before["darija_arabic"]))).alias("arabizi_before"),
+        F.count_if(X.has_arabizi_digit(F.col("darija_arabic"))).alias("arabizi_after"),
+        F.coalesce(F.sum(blanks(lambda c: before[c])), F.lit(0)).cast("long").alias("empty_before"),
+        F.coalesce(F.sum(blanks(lambda c: c)), F.lit(0)).cast("long").alias("empty_after"),
+    )
+
+
+def correction_kinds(df: DataFrame, status: str, changed: str = "changed_fields") -> DataFrame:
+    """Rows by corrected field, and complete and partial corrections by the status they came with.
+    Published counts spell the second status with a space; both spellings count here."""
+    touched, state = F.col(changed) != "", F.upper(X.as_text(F.col(status)))
+    kinds = {c: F.array_contains(F.split(changed, ";"), c) for c in L.TARGETS}
+    kinds |= {"complete_corrections": touched & (state == "GENERATED"), "partial_corrections": touched & state.isin("PARTIALLY VALIDATED", "PARTIALLY_VALIDATED")}
+    return unpivot(df.agg(*[F.count_if(v).alias(k) for k, v in kinds.items()]), list(kinds), "kind", "rows")
+
+
 def report_values(reports: DataFrame, column: str, keys) -> DataFrame:
     """Named values of JSON reports, one row for each report."""
     return reports.select("*", *[F.get_json_object(column, f"$.{k}").cast("double").alias(k) for k in keys]).drop(column)

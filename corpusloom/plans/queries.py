@@ -6,6 +6,7 @@ only where it is the feature (top words, greatest changes, head, row caps).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from corpusloom.operators import cleaning, corrections, flags, merging, profile,
 from corpusloom.plans import sqltext as Q
 from corpusloom.plans.views import SQL as CORPUS
 from corpusloom.plans.views import corpus, table
+from corpusloom.sources import readers, sinks
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -57,19 +59,19 @@ _text("universal_cleanup", "english", X.universal_cleanup, Q.universal("english"
 _text("punctuation_strip", "english", X.strip_punctuation, Q.punctuation("english"))
 _text("clean_english", "english", X.clean_english, Q.english("english"))
 _text("clean_english_stemmed", "english", lambda c: X.clean_english(c, stem=True), None)
-_text("expand_contractions", "english", lambda c: X.expand_contractions(F.lower(c), effective=True), None)
-_text("reduce_repeats", "darija_arabizi", X.limit_repeats, None)
-_text("isolated_digits", "darija_arabizi", X.strip_isolated_digits, None)
+_text("expand_contractions", "english", lambda c: X.expand_contractions(F.lower(c), effective=True), Q.expand("lower(english)"))
+_text("reduce_repeats", "darija_arabizi", X.limit_repeats, Q.limit_repeats("darija_arabizi"))
+_text("isolated_digits", "darija_arabizi", X.strip_isolated_digits, Q.isolated_digits("darija_arabizi"))
 _text("drop_vowels", "darija_arabizi", X.drop_vowels, "translate(darija_arabizi, 'aeiou', '')")
 _text("translit_arabizi", "darija_arabizi", X.transliterate, Q.transliterate("darija_arabizi"))
-_text("clean_arabizi", "darija_arabizi", A.clean_arabizi, None)
-_text("clean_arabizi_arabic", "darija_arabizi", lambda c: A.clean_arabizi(c, to_arabic=True, stems=True), None)
+_text("clean_arabizi", "darija_arabizi", A.clean_arabizi, Q.arabizi("darija_arabizi"))
+_text("clean_arabizi_arabic", "darija_arabizi", lambda c: A.clean_arabizi(c, to_arabic=True, stems=True), Q.arabizi_arabic("darija_arabizi"))
 _text("normalize_arabic", "darija_arabic", lambda c: A.normalize(c, True, True), Q.arabic("darija_arabic", True))
 _text("clean_msa", "modern_standard_arabic", A.clean_msa, Q.msa("modern_standard_arabic"))
 _text("clean_darija", "darija_arabic", A.clean_darija, Q.darija("darija_arabic"))
-_text("clean_msa_clitics_stems", "modern_standard_arabic", lambda c: A.clean_msa(c, clitics=True, stems=True), None)
-_text("clean_darija_negation", "darija_arabic", lambda c: A.clean_darija(c, clitics=True, negation=True), None)
-_text("normalize_for_similarity", "english", X.for_similarity, None)
+_text("clean_msa_clitics_stems", "modern_standard_arabic", lambda c: A.clean_msa(c, clitics=True, stems=True), Q.msa_clitics_stems("modern_standard_arabic"))
+_text("clean_darija_negation", "darija_arabic", lambda c: A.clean_darija(c, clitics=True, negation=True), Q.darija_negation("darija_arabic"))
+_text("normalize_for_similarity", "english", X.for_similarity, Q.for_similarity("english"))
 _text("word_counts", "english", X.word_count, f"len({Q.tokens('english')})::INT")
 _text("char_lengths", "english", X.char_length, "length(english)::INT")
 _text("detect_arabizi", "darija_arabizi", X.has_arabizi_digit, "regexp_matches(darija_arabizi, '[2379]')")
@@ -104,7 +106,35 @@ def dup_token_collapse(spark, sf_dir):
 
 # -------------------------------------------------------------------------- cleaning
 
-_BASE = {"english": Q.english(Q.universal("english")), "modern_standard_arabic": Q.msa(Q.universal("modern_standard_arabic")), "darija_arabic": Q.darija(Q.universal("darija_arabic"))}
+_BASE = {
+    "english": Q.english(Q.universal("english")),
+    "modern_standard_arabic": Q.msa(Q.universal("modern_standard_arabic")),
+    "darija_arabic": Q.darija(Q.universal("darija_arabic")),
+    "darija_arabizi": Q.arabizi(Q.universal("darija_arabizi")),
+}
+_OTHERS = ("doc_id", "lang", "row_index", "data_id", "id", "classe", "status")
+
+
+def _cleaned_sql() -> str:
+    """CTEs up to ``cleaned``: as the operator returns it, with the reason and the counts."""
+    others = ", ".join(_OTHERS)
+    base = ", ".join(f"{e} AS {c}" for c, e in _BASE.items())
+    metadata = " OR ".join(Q.metadata(c) for c in L.TARGETS)
+    empty = " OR ".join(f"{c} = ''" for c in L.TARGETS)
+    reason = f"CASE WHEN {metadata} THEN 'metadata' WHEN {Q.marker('modern_standard_arabic')} THEN 'leakage' WHEN upper(trim(coalesce(status, ''))) = 'ERROR' THEN 'status' WHEN {empty} THEN 'empty' END AS drop_reason"
+    places = {c: Q.placeholders(c, L.PLACEHOLDERS[c]) for c in L.TARGETS}
+    out = ", ".join(f"{t} AS p_{c}" for c, (t, _) in places.items()) + ", (" + " + ".join(f"({n})" for _, n in places.values()) + ")::INT AS placeholders_removed"
+    words = ", ".join(f"{Q.tokens(f'p_{c}')} AS w_{c}" for c in L.TARGETS)
+    single = {c: Q.repeats(f"w_{c}") for c in L.TARGETS}
+    kept = ", ".join(f"CASE WHEN drop_reason IS NULL THEN {t} ELSE {c} END AS {c}" for c, (t, _) in single.items())
+    gone = "(" + " + ".join(f"({n})" for _, n in single.values()) + ")::INT AS repeats_removed"
+    return f"""WITH {CORPUS}, c1 AS (SELECT {others}, english_word_count, {base} FROM corpus),
+c2 AS (SELECT *, {reason}, {out} FROM c1), c3 AS (SELECT *, {words} FROM c2),
+c4 AS (SELECT {others}, english_word_count AS before, drop_reason, placeholders_removed, {kept}, {gone} FROM c3),
+cleaned AS (SELECT *, len({Q.tokens('english')})::INT AS english_word_count, coalesce(try_cast(before AS INT), -1) <> len({Q.tokens('english')}) AS word_count_changed FROM c4)"""
+
+
+_CLEANED = _cleaned_sql()
 
 
 def _english_corpus(spark, sf_dir: str) -> DataFrame:
@@ -118,43 +148,52 @@ _TOP = f"""WITH {CORPUS}, w AS (
 
 @query(_TOP)
 def top_words(spark, sf_dir):
-    return cleaning.top_words(_english_corpus(spark, sf_dir).where("english <> ''"), "english", "row_index")
+    return cleaning.top_words(_english_corpus(spark, sf_dir), "english", "row_index")
 
 
 def flagship(spark, sf_dir: str) -> DataFrame:
     return top_words(spark, sf_dir)
 
 
-@query()
+@query(f"{_CLEANED} SELECT {', '.join(_OTHERS)}, {', '.join(L.TARGETS)}, english_word_count FROM cleaned WHERE drop_reason IS NULL")
 def clean_corpus(spark, sf_dir):
-    """Cleaned rows that stay. (Isolated digits and repeats need look-around: no SQL.)"""
+    """Cleaned rows that stay."""
     return cleaning.kept(cleaning.clean_corpus(corpus(spark, sf_dir)))
 
 
-@query()
+_BY_REASON = ", ".join(f"count_if(drop_reason = '{r}') AS dropped_{r}" for r in ("metadata", "leakage", "status", "empty"))
+_STAYING = {"placeholder_removals": "sum(placeholders_removed) FILTER (drop_reason IS NULL)", "duplicate_token_removals": "sum(repeats_removed) FILTER (drop_reason IS NULL)", "word_count_recomputed_rows": "count_if(drop_reason IS NULL AND word_count_changed)"}
+
+
+@query(f"{_CLEANED} SELECT count(*) AS input_rows, {_BY_REASON}, count_if(drop_reason IS NULL) AS output_rows, {', '.join(f'coalesce({e}, 0)::BIGINT AS {n}' for n, e in _STAYING.items())}, round(100.0 * count_if(drop_reason IS NULL) / count(*), 4) AS retention_pct FROM cleaned")
 def clean_stage_counts(spark, sf_dir):
     return profile.retention(cleaning.stage_counts(cleaning.clean_corpus(corpus(spark, sf_dir))))
 
 
-@query()
+@query(f"""{_CLEANED}, w AS (
+  SELECT row_index, unnest(t) AS word, generate_subscripts(t, 1) AS pos FROM (SELECT row_index, {Q.tokens('darija_arabic')} AS t FROM cleaned WHERE drop_reason IS NULL OR drop_reason = 'empty')
+) SELECT word, count(*) AS count FROM w GROUP BY word ORDER BY count DESC, min(row_index * 10000000 + pos) LIMIT 100""")
 def top_words_darija(spark, sf_dir):
     return cleaning.top_words_before_empty(cleaning.clean_corpus(corpus(spark, sf_dir)), "darija_arabic", "row_index")
 
 
-_REASONS = f"""WITH {CORPUS}, c AS (SELECT data_id, status, {_BASE['english']} AS e, {_BASE['modern_standard_arabic']} AS m, {_BASE['darija_arabic']} AS d FROM corpus)
-SELECT data_id, CASE WHEN {Q.metadata('e')} THEN 'metadata' WHEN {Q.marker('m')} THEN 'leakage' WHEN upper(coalesce(status, '')) = 'ERROR' THEN 'status' WHEN e = '' OR m = '' OR d = '' THEN 'empty' END AS drop_reason FROM c"""
-
-
-@query(_REASONS)
+@query(f"{_CLEANED} SELECT data_id, drop_reason FROM cleaned")
 def drop_reasons(spark, sf_dir):
-    """Three of the four columns, whose cleaning SQL can express."""
     o = cleaning.CleaningOptions()
-    columns = cleaning.cleaned_columns(o)
-    columns["darija_arabizi"] = F.lit("x")
-    df = corpus(spark, sf_dir).withColumns(columns)
+    df = corpus(spark, sf_dir).withColumns(cleaning.cleaned_columns(o))
     return df.select("data_id", cleaning.drop_reason(df, o).alias("drop_reason"))
 
 
+_BLANK = " OR ".join(f"{Q.collapse(c)} = ''" for c in L.TARGETS)
+
+
+@query(f"WITH {CORPUS}, r AS (SELECT * REPLACE (CASE WHEN doc_id % 6 = 0 THEN ' ' || chr(9) ELSE english END AS english) FROM corpus) SELECT data_id FROM r WHERE NOT ({_BLANK})")
+def required_text(spark, sf_dir):
+    """Rows whose four texts are not blank; every sixth one is made so."""
+    blanked = F.when(F.col("doc_id") % 6 == 0, " \t").otherwise(F.col("english"))
+    return cleaning.require_text(corpus(spark, sf_dir).withColumn("english", blanked)).select("data_id")
+
+
 @query(f"WITH {CORPUS} SELECT data_id, status FROM corpus WHERE upper(coalesce(status, '')) <> 'ERROR'")
 def status_filter(spark, sf_dir):
     return corpus(spark, sf_dir).where(F.upper(X.as_text(F.col("status"))) != "ERROR").select("data_id", "status")
@@ -196,14 +235,22 @@ def length_stats(spark, sf_dir):
     return profile.length_stats(_lengths(spark, sf_dir), "n", "lang")
 
 
-@query(f"{_LEN}, b AS (SELECT lang, min(n) AS low, max(n) AS high FROM d GROUP BY lang) SELECT lang, CASE WHEN high > low THEN least(floor((n - low) / ((high - low) / 30.0)), 29) ELSE 0 END::INT AS bin, count(*) AS count FROM d JOIN b USING (lang) GROUP BY 1, 2")
+_CLASS_LEN = f"WITH {CORPUS}, d AS (SELECT classe, length(english) AS n FROM corpus)"
+
+
+def _class_lengths(spark, sf_dir):
+    """Lengths by class; a quarter of the rows have none."""
+    return corpus(spark, sf_dir).select("classe", F.char_length("english").alias("n"))
+
+
+@query(f"{_CLASS_LEN}, b AS (SELECT classe, min(n) AS low, max(n) AS high FROM d GROUP BY classe) SELECT d.classe, CASE WHEN high > low THEN least(floor((n - low) / ((high - low) / 30.0)), 29) ELSE 0 END::INT AS bin, count(*) AS count FROM d JOIN b ON d.classe IS NOT DISTINCT FROM b.classe GROUP BY 1, 2")
 def hist_lengths(spark, sf_dir):
-    return profile.histogram(_lengths(spark, sf_dir), "n", 30, "lang")
+    return profile.histogram(_class_lengths(spark, sf_dir), "n", 30, "classe")
 
 
-@query(f"{_LEN}, q AS (SELECT lang, quantile_cont(n, 0.25) AS q1, quantile_cont(n, 0.5) AS median, quantile_cont(n, 0.75) AS q3 FROM d GROUP BY lang) SELECT lang, any_value(q1) AS q1, any_value(median) AS median, any_value(q3) AS q3, min(n)::INT AS whisker_low, max(n)::INT AS whisker_high FROM d JOIN q USING (lang) WHERE n BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) GROUP BY lang")
+@query(f"{_CLASS_LEN}, q AS (SELECT classe, quantile_cont(n, 0.25) AS q1, quantile_cont(n, 0.5) AS median, quantile_cont(n, 0.75) AS q3 FROM d GROUP BY classe) SELECT d.classe, any_value(q1) AS q1, any_value(median) AS median, any_value(q3) AS q3, min(n)::INT AS whisker_low, max(n)::INT AS whisker_high FROM d JOIN q ON d.classe IS NOT DISTINCT FROM q.classe WHERE n BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) GROUP BY d.classe")
 def boxplot_lengths(spark, sf_dir):
-    return profile.boxplot(_lengths(spark, sf_dir), "n", "lang")
+    return profile.boxplot(_class_lengths(spark, sf_dir), "n", "classe")
 
 
 @query(f"WITH {CORPUS}, d AS (SELECT classe, len({Q.tokens('english')}) AS n FROM corpus) SELECT classe, round(avg(n), 2) AS mean, trunc(median(n))::INT AS median, min(n)::INT AS min, max(n)::INT AS max, round(stddev_samp(n), 2) AS std FROM d GROUP BY classe")
@@ -221,9 +268,9 @@ def flag_pct(spark, sf_dir):
     return profile.shares(profile.value_counts(corpus(spark, sf_dir), "status"))
 
 
-@query("SELECT count(*) AS rows, 3 AS columns, count(*) - (SELECT count(*) FROM (SELECT DISTINCT lang, source, text FROM documents)) AS duplicated_rows, count(DISTINCT text) AS unique_ids, count(*) - count(DISTINCT text) AS duplicated_ids FROM documents")
+@query("SELECT count(*) AS rows, 4 AS columns, count(*) - (SELECT count(*) FROM (SELECT DISTINCT lang, source, text, n_chars FROM documents)) AS duplicated_rows, count(DISTINCT text) AS unique_ids, count(*) - count(DISTINCT text) AS duplicated_ids FROM documents")
 def dataset_summary(spark, sf_dir):
-    return profile.dataset_summary(table(spark, sf_dir, "documents").select("lang", "source", "text"), "text")
+    return profile.dataset_summary(table(spark, sf_dir, "documents").select("lang", "source", "text", "n_chars"), "text")
 
 
 def _missing_sql(columns) -> str:
@@ -246,16 +293,13 @@ def id_overlap(spark, sf_dir):
     return profile.id_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
-_CHANGE = f"WITH {CORPUS}, c AS (SELECT english AS a, {_BASE['english']} AS b, darija_arabic AS x, {_BASE['darija_arabic']} AS y FROM corpus)"
-_RATE = "sum(({a} <> {b})::INT)::BIGINT AS changed_rows, count(*) AS compared_rows, round(100.0 * sum(({a} <> {b})::INT) / count(*), 2) AS change_rate FROM c"
+_CHANGE = f"WITH {CORPUS}, c AS (SELECT " + ", ".join(f"{Q.collapse(c)} AS a_{c}, {Q.collapse(e)} AS b_{c}" for c, e in _BASE.items()) + " FROM corpus)"
+_RATE = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", sum((a_{c} <> b_{c})::INT)::BIGINT AS changed_rows, count(*) AS compared_rows, round(100.0 * sum((a_{c} <> b_{c})::INT) / count(*), 2) AS change_rate FROM c" for c in L.TARGETS)
 
 
-@query(f"{_CHANGE} SELECT 'english' AS \"column\", {_RATE.format(a=Q.collapse('a'), b=Q.collapse('b'))} UNION ALL SELECT 'darija_arabic', {_RATE.format(a=Q.collapse('x'), b=Q.collapse('y'))}")
+@query(f"{_CHANGE} {_RATE}")
 def change_rate(spark, sf_dir):
-    base = corpus(spark, sf_dir).select("row_index", "data_id", "english", "darija_arabic")
-    o = cleaning.cleaned_columns(cleaning.CleaningOptions())
-    after = base.withColumns({c: o[c] for c in ("english", "darija_arabic")})
-    return profile.change_rates(profile.compare(base, after, "data_id", "row_index"), ("english", "darija_arabic"))
+    return profile.change_rates_in(corpus(spark, sf_dir), cleaning.cleaned_columns(cleaning.CleaningOptions()))
 
 
 @query(f"WITH {CORPUS} SELECT a.data_id AS source_data_id, b.data_id AS cleaned_data_id, a.classe AS source_classe FROM (SELECT classe, arg_min(data_id, row_index) AS data_id FROM corpus GROUP BY classe) a JOIN (SELECT classe, arg_min(data_id, row_index) AS data_id FROM corpus WHERE row_index > 10 GROUP BY classe) b ON a.classe IS NOT DISTINCT FROM b.classe")
@@ -277,17 +321,21 @@ def compare_outer(spark, sf_dir):
     return profile.outer_counts(profile.value_counts(df, "status"), profile.value_counts(df.withColumn("status", F.upper("status")), "status"))
 
 
-@query(f"WITH {CORPUS}, m AS (SELECT lang, count(*)::DOUBLE AS n, round(avg(length(english)), 4) AS l FROM corpus WHERE lang IN ('en', 'fr') GROUP BY lang) SELECT 'rows' AS metric, max(n) FILTER (lang = 'en') AS en, max(n) FILTER (lang = 'fr') AS fr FROM m UNION ALL SELECT 'mean_length', max(l) FILTER (lang = 'en'), max(l) FILTER (lang = 'fr') FROM m")
+_LANGS = ("en", "fr", "de", "es")
+_PIVOT = " UNION ALL ".join(f"SELECT '{n}' AS metric, " + ", ".join(f"max({c}) FILTER (lang = '{x}') AS {x}" for x in _LANGS) + " FROM m" for n, c in (("rows", "n"), ("mean_length", "l")))
+
+
+@query(f"WITH {CORPUS}, m AS (SELECT lang, count(*)::DOUBLE AS n, round(avg(length(english)), 4) AS l FROM corpus GROUP BY lang) {_PIVOT}")
 def metric_pivot(spark, sf_dir):
     df = corpus(spark, sf_dir)
     metrics = {"rows": F.count("*"), "mean_length": F.round(F.avg(F.char_length("english")), 4)}
-    return profile.metric_pivot({x: df.where(F.col("lang") == x) for x in ("en", "fr")}, metrics)
+    return profile.metric_pivot({x: df.where(F.col("lang") == x) for x in _LANGS}, metrics)
 
 
-@query()
+@query(f"WITH {CORPUS}, n AS (SELECT lang AS dataset, coalesce(status, '<NA>') AS value, count(*) AS n FROM corpus GROUP BY ALL) SELECT dataset, sum(n)::BIGINT AS rows, '{{' || string_agg('\"' || value || '\":' || n, ',' ORDER BY value) || '}}' AS counts FROM n GROUP BY dataset")
 def multi_dataset_summary(spark, sf_dir):
     df = corpus(spark, sf_dir)
-    return profile.multi_summary({x: df.where(F.col("lang") == x) for x in ("en", "fr", "de", "es")}, "status")
+    return profile.multi_summary({x: df.where(F.col("lang") == x) for x in _LANGS}, "status")
 
 
 @query(f"WITH {CORPUS} SELECT coalesce(classe, 'UNKNOWN') AS value, count(*) AS total, sum((english <> {Q.collapse('english')})::INT)::BIGINT AS corrected, 0::BIGINT AS errors FROM corpus GROUP BY 1")
@@ -392,10 +440,12 @@ def match_counts(spark, sf_dir):
     return merging.match_counts(*_halves(spark, sf_dir), "data_id", 500).select("half", F.col("expected").cast("long").alias("expected"), F.col("matched").cast("long").alias("matched"))
 
 
-@query("SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN l.quality::INT ELSE -1 END AS quality, l.doc_id IS NOT NULL AS updated FROM documents d LEFT JOIN labels l USING (doc_id)")
+@query("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN -1 WHEN l.toxic = 1 THEN 7 ELSE l.quality END::INT AS quality, l.doc_id IS NOT NULL AS updated FROM documents d LEFT JOIN labels l USING (doc_id)")
 def upsert_rechecked(spark, sf_dir):
-    base = table(spark, sf_dir, "documents").select("doc_id", F.lit(-1).alias("quality"))
-    return merging.upsert(base, table(spark, sf_dir, "labels"), "doc_id", ["quality"])
+    """Changes that repeat a key: a later one for toxic rows wins."""
+    base, labels = table(spark, sf_dir, "documents").select("doc_id", F.lit(-1).alias("quality")), table(spark, sf_dir, "labels")
+    later = labels.where("toxic = 1").select("doc_id", F.lit(7).alias("quality"), F.lit(2).alias("turn"))
+    return merging.upsert(base, labels.select("doc_id", "quality", F.lit(1).alias("turn")).union(later), "doc_id", ["quality"], "turn")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -460,7 +510,149 @@ def llm_zip(spark, sf_dir):
     return corrections.zip_batches(df, answers).select("data_id", F.col("answer.english").alias("fixed"))
 
 
-@query("SELECT conv_id, turn, CASE WHEN role = 'user' THEN round(length(text) * 1000 / 1e6 * 0.4 + 100000 / 1e6 * 1.6, 6) ELSE round(length(text) * 1000 / 1e6 * 0.15 + 100000 / 1e6 * 0.6, 6) END AS cost FROM conversations")
+@query("SELECT conv_id, turn, round(length(text)::DECIMAL(18, 0) * CASE WHEN role = 'user' THEN 0.40 ELSE 0.15 END::DECIMAL(4, 2) + 100 * CASE WHEN role = 'user' THEN 1.60 ELSE 0.60 END::DECIMAL(4, 2), 0)::DOUBLE / 1000000 AS cost FROM conversations")
 def cost_estimate(spark, sf_dir):
     model = F.when(F.col("role") == "user", "gpt-4.1-mini").otherwise("unknown")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", similarity.cost(F.char_length("text") * 1000, F.lit(100_000), model).alias("cost"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", similarity.cost(F.char_length("text"), F.lit(100), model).alias("cost"))
+
+
+_SUMS = "count(*) AS rows, sum(length(text))::BIGINT AS p, sum(turn)::BIGINT AS c, round(avg(CASE WHEN role = 'user' THEN 0.5 ELSE 0.0 END), 4) AS mean_score"
+
+
+@query(f"WITH s AS (SELECT {_SUMS} FROM conversations) SELECT rows, p AS prompt_tokens, c AS completion_tokens, mean_score, round(p / rows, 2) AS prompt_tokens_a_row, round(c / rows, 2) AS completion_tokens_a_row, round(p::DECIMAL(18, 0) * 0.15 + c::DECIMAL(18, 0) * 0.60, 0)::DOUBLE / 1000000 AS cost FROM s")
+def token_totals(spark, sf_dir):
+    df = table(spark, sf_dir, "conversations").select(F.char_length("text").alias("prompt_tokens"), F.col("turn").alias("completion_tokens"), F.when(F.col("role") == "user", 0.5).alias("score"))
+    return similarity.token_totals(df, score="score")
+
+
+@query(f"WITH {CORPUS} SELECT data_id, array_to_string(list_filter([CASE WHEN doc_id % 3 = 0 THEN NULL ELSE classe END, nullif(trim(CASE WHEN doc_id % 2 = 0 THEN '  ' ELSE 'low' END), '')], lambda x: x IS NOT NULL), ' | ') AS notes FROM corpus")
+def notes_merged(spark, sf_dir):
+    a, b = F.when(F.col("doc_id") % 3 != 0, F.col("classe")), F.when(F.col("doc_id") % 2 == 0, "  ").otherwise("low")
+    return corpus(spark, sf_dir).select("data_id", similarity.merge_notes(a, b).alias("notes"))
+
+
+@query(f"WITH {CORPUS} SELECT data_id, CASE WHEN doc_id % 5 = 0 THEN 0.0 ELSE 0.9 END::DOUBLE AS similarity_score, CASE WHEN doc_id % 5 = 0 THEN 'SUSPICIOUS' ELSE 'CONSISTENT' END AS consistency_flag, doc_id % 5 = 0 AS low_similarity, CASE WHEN doc_id % 5 <> 0 THEN classe WHEN classe IS NULL THEN 'Runtime error during semantic check: Timeout' ELSE classe || ' | Runtime error during semantic check: Timeout' END AS qc_notes FROM corpus")
+def failed_checks(spark, sf_dir):
+    df = corpus(spark, sf_dir).select("data_id", F.col("classe").alias("qc_notes"), F.lit(0.9).alias("similarity_score"), F.lit("CONSISTENT").alias("consistency_flag"), F.lit(False).alias("low_similarity"), F.when(F.col("doc_id") % 5 == 0, "Timeout").alias("error"))
+    return similarity.failure_rows(df).select("data_id", "similarity_score", "consistency_flag", "low_similarity", "qc_notes")
+
+
+@query(f"WITH {CORPUS} SELECT data_id, id, coalesce(classe, '') AS classe, english, english_word_count, 'new' AS darija_arabic FROM corpus")
+def immutable_restored(spark, sf_dir):
+    """An answer that changes everything; what must not change comes back."""
+    df = corpus(spark, sf_dir).withColumn("classe", F.coalesce("classe", F.lit("")))
+    answer = df.select("data_id", *[F.lit("new").alias(c) for c in ("id", "classe", "english", "english_word_count", "darija_arabic")])
+    return corrections.restore_immutable(answer, df, "data_id").select("data_id", "id", "classe", "english", "english_word_count", "darija_arabic")
+
+
+_TOUCHED = "CASE WHEN doc_id % 3 = 0 THEN 'english;darija_arabic' WHEN doc_id % 3 = 1 THEN 'modern_standard_arabic' ELSE '' END"
+_KINDS = {c: f"list_contains(string_split(f, ';'), '{c}')" for c in L.TARGETS} | {"complete_corrections": "f <> '' AND s = 'GENERATED'", "partial_corrections": "f <> '' AND s IN ('PARTIALLY VALIDATED', 'PARTIALLY_VALIDATED')"}
+
+
+@query(f"WITH {CORPUS}, k AS (SELECT upper(coalesce(status, '')) AS s, {_TOUCHED} AS f FROM corpus) " + " UNION ALL ".join(f"SELECT '{n}' AS kind, count_if({e}) AS rows FROM k" for n, e in _KINDS.items()))
+def correction_kinds(spark, sf_dir):
+    return profile.correction_kinds(corpus(spark, sf_dir).withColumn("changed_fields", F.expr(_TOUCHED)), "status")
+
+
+_BLANKED = "CASE WHEN doc_id % 9 = 0 THEN '  ' ELSE darija_arabic || CASE WHEN doc_id % 4 = 0 THEN ' 3' ELSE '' END END"
+
+
+@query(f"WITH {CORPUS}, k AS (SELECT *, {_BLANKED} AS old FROM corpus) SELECT count_if(regexp_matches(old, '[2379]')) AS arabizi_before, count_if(regexp_matches(darija_arabic, '[2379]')) AS arabizi_after, sum(({Q.collapse('old')} = '')::INT + ({Q.collapse('darija_arabizi')} = '')::INT + ({Q.collapse('modern_standard_arabic')} = '')::INT)::BIGINT AS empty_before, sum(({Q.collapse('darija_arabic')} = '')::INT + ({Q.collapse('darija_arabizi')} = '')::INT + ({Q.collapse('modern_standard_arabic')} = '')::INT)::BIGINT AS empty_after FROM k")
+def anomalies_after(spark, sf_dir):
+    df = corpus(spark, sf_dir).withColumn("old", F.expr(_BLANKED))
+    return profile.anomalies_after(df, {"darija_arabic": "old", "darija_arabizi": "darija_arabizi", "modern_standard_arabic": "modern_standard_arabic"})
+
+
+_AZ, _DA = Q.arabic(Q.transliterate("lower(text)"), True), Q.arabic(f"translate(lower(text), '{L.ARABIZI_LATIN}', '{L.ARABIZI_ARABIC}')", True)
+_FAR = "CASE WHEN item_id % 2 = 0 THEN reverse({}) ELSE {} END"
+
+
+@query(f"WITH p AS (SELECT item_id, {Q.ascii_letters(_AZ)} AS a, {Q.ascii_letters(_FAR.format(_DA, _DA))} AS b FROM benchmark) SELECT item_id, CASE WHEN greatest(length(a), length(b)) > 0 THEN levenshtein(a, b) / greatest(length(a), length(b)) > 0.6 ELSE false END AS incoherent FROM p")
+def incoherence_flag(spark, sf_dir):
+    """Sentences of the benchmark beside their transliteration; every other one is turned around."""
+    arabic = F.translate(F.lower("text"), L.ARABIZI_LATIN, L.ARABIZI_ARABIC)
+    turned = F.when(F.col("item_id") % 2 == 0, F.reverse(A.normalize(arabic, True, True))).otherwise(arabic)
+    df = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("darija_arabizi"), turned.alias("darija_arabic"))
+    return df.select("item_id", flags.incoherence(0.6).alias("incoherent"))
+
+
+_STANDARD = rf"""regexp_replace(regexp_replace(translate(translate(darija_arabic, 'گڨݣڤپ', 'ڭڭڭفب'), 'أإآؤئ', 'اااوي'), 'ة({Q.W}|$)', 'ه\1', 'g'), '(^|{Q.W})(?:[هخ]{{3,}}|(?i:(?:ha){{2,}}h?|(?:kh){{2,}}|lo+l))({Q.W}|$)', '\1<LAUGH>\2', 'g')"""
+
+
+@query(f"WITH {CORPUS} SELECT data_id, {_STANDARD} AS result FROM corpus")
+def profile_standardize(spark, sf_dir):
+    options = flags.ProfileOptions(final_taa="haa", normalize_hamza=True)
+    return corpus(spark, sf_dir).select("data_id", flags.standardize(F.col("darija_arabic"), options).alias("result"))
+
+
+@query(f"SELECT item_id, '{{\"input\":' || to_json({{'darija_arabic': '', 'darija_arabizi': '', 'english': {Q.drop_artifacts('text')}, 'modern_standard_arabic': ''}}) || '}}' AS prompt FROM benchmark")
+def llm_strict_prompts(spark, sf_dir):
+    df = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("english"), *[F.lit("").alias(c) for c in L.TARGETS if c != "english"])
+    return corrections.strict_requests(df, "item_id").select("item_id", "prompt")
+
+
+# -------------------------------------------------------------------------- sources and sinks
+
+
+def _folder(spark) -> str:
+    """A new folder beside the tables of the session, which all executors see."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/corpusloom-{uuid.uuid4().hex}"
+
+
+_CELLS = {"data_id": "data_id", "cell": "CASE doc_id % 5 WHEN 0 THEN 'NA' WHEN 1 THEN 'null' WHEN 2 THEN '' WHEN 3 THEN 'a \"q\", b' ELSE english END"}
+_CELLS_SQL = f"WITH {CORPUS}, w AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _CELLS.items()) + " FROM corpus)"
+
+
+def _written(spark, sf_dir: str, encoding: str = "UTF-8") -> str:
+    path = f"{_folder(spark)}/cells"
+    out = corpus(spark, sf_dir).selectExpr(*[f"{e} AS {n}" for n, e in _CELLS.items()])
+    sinks.write_csv(out, path, encoding=encoding)
+    return path
+
+
+@query(f"{_CELLS_SQL} SELECT * FROM w")
+def csv_as_text(spark, sf_dir):
+    """Written and read again: cells of several lines, quotes, and no cell taken for missing."""
+    return readers.read_csv(spark, _written(spark, sf_dir), required=("data_id", "cell"))
+
+
+@query(f"{_CELLS_SQL} SELECT data_id, CASE WHEN cell IN ('NA', 'null', '') THEN NULL ELSE cell END AS cell FROM w")
+def csv_with_missing(spark, sf_dir):
+    return readers.read_csv_na(spark, _written(spark, sf_dir))
+
+
+@query(f"{_CELLS_SQL} SELECT data_id, cell FROM (SELECT data_id, CASE WHEN cell IN ('NA', 'null', '') THEN NULL ELSE cell END AS cell FROM w)")
+def csv_any_encoding(spark, sf_dir):
+    """The same from a file in UTF-8; see the tests for Latin-1."""
+    return readers.read_csv_any(spark, _written(spark, sf_dir))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'later' ELSE 'first' END AS state FROM documents")
+def jsonl_last_wins(spark, sf_dir):
+    """A checkpoint of two appended parts and a broken line; the last line of each key counts."""
+    path, ids = f"{_folder(spark)}/log", table(spark, sf_dir, "documents").select("doc_id")
+    sinks.append_checkpoint(ids.withColumns({"state": F.lit("first"), "turn": F.lit(1)}), path)
+    sinks.append_checkpoint(ids.where("doc_id % 3 = 0").withColumns({"state": F.lit("later"), "turn": F.lit(2)}), path)
+    return readers.read_jsonl(spark, path, "doc_id long, state string, turn int", "doc_id", "turn").select("doc_id", "state")
+
+
+@query(f"WITH {CORPUS} SELECT count(*) AS rows, count_if(status IS NULL) AS missing FROM corpus")
+def report_round_trip(spark, sf_dir):
+    path = f"{_folder(spark)}/report"
+    sinks.write_report(profile.conditional_counts(corpus(spark, sf_dir), {"missing": F.col("status").isNull()}), path)
+    return readers.read_report(spark, path).select("rows", "missing")
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY lang, doc_id) AS row_index FROM documents")
+def row_numbers(spark, sf_dir):
+    return readers.with_row_index(table(spark, sf_dir, "documents").select("doc_id", "lang"), ["lang", "doc_id"]).select("doc_id", F.col("row_index").cast("long").alias("row_index"))
+
+
+@query("SELECT 1 AS row_index, 'This is @-@ a short <unk> row. See https://a.example' AS english UNION ALL SELECT 2, 'Another ROW, with marks!' UNION ALL SELECT 3, '<unk>'")
+def demo_rows(spark, sf_dir):
+    return readers.demo_corpus(spark).select("row_index", "english")
+
+
+@query(f"WITH {CORPUS} SELECT data_id, darija_arabic AS corrected_darija_arabic, english AS corrected_english, coalesce(classe, '') AS classe, '' AS annotator, 'now' AS created_at FROM corpus")
+def label_tool_rows(spark, sf_dir):
+    return sinks.label_rows(corpus(spark, sf_dir), "now").select("data_id", "corrected_darija_arabic", "corrected_english", "classe", "annotator", "created_at")

@@ -135,3 +135,88 @@ def metadata(c: str) -> str:
 
 def marker(c: str) -> str:
     return f"list_has_any({tokens(c)}, {listed(L.DARIJA_MARKERS)})"
+
+
+def let(expr: str, name: str, body: str) -> str:
+    """``body`` with ``name`` for the value of ``expr``, which is computed once."""
+    return f"list_transform([{expr}], lambda {name}: {body})[1]"
+
+
+def characters(c: str) -> str:
+    return f"regexp_extract_all({c}, '(?s).')"
+
+
+def limit_repeats(c: str) -> str:
+    kept = "list_filter(cs, lambda x, i: x = chr(10) OR i < 3 OR x <> cs[i - 1] OR x <> cs[i - 2])"
+    return let(characters(f"coalesce({c}, '')"), "cs", f"array_to_string({kept}, '')")
+
+
+def isolated_digits(c: str) -> str:
+    """Runs of digits lose what is not next to a letter: all but the first digit after a letter, and
+    all but the last before one."""
+    a, b = "(i > 1 AND regexp_matches(rs[i - 1], '^[a-zA-Z]'))::INT", "(i < len(rs) AND regexp_matches(rs[i + 1], '^[a-zA-Z]'))::INT"
+    one = f"CASE WHEN regexp_matches(r, '^[0-9]') AND length(r) > {a} + {b} THEN left(r, {a}) || ' ' || right(r, {b}) ELSE r END"
+    return let(f"regexp_extract_all(coalesce({c}, ''), '[0-9]+|[a-zA-Z]+|[^0-9a-zA-Z]+')", "rs", f"array_to_string(list_transform(rs, lambda r, i: {one}), '')")
+
+
+def expand(c: str) -> str:
+    for short, full in L.CONTRACTIONS.items():
+        c = rx(c, rf"(?i)\b{short}\b", full)
+    return c
+
+
+def arabizi(c: str) -> str:
+    words = tokens(latin(isolated_digits(punctuation(limit_repeats(f"lower({c})")))))
+    return join(without(words, L.ARABIZI_STOPWORDS))
+
+
+def _first_of(words, fits) -> str:
+    """CASE: the first of ``words`` that fits, or an empty text."""
+    return "CASE " + " ".join(f"WHEN {fits(w)} THEN {quote(w)}" for w in words) + " ELSE '' END"
+
+
+def stem(t: str, words: str) -> str:
+    """Light stems of a list; t: the name of an element."""
+    front = _first_of(L.STEM_PREFIXES, lambda p: f"starts_with({t}, {quote(p)}) AND length({t}) - {len(p)} >= 3")
+    back = _first_of(L.STEM_SUFFIXES, lambda s: f"ends_with(rest, {quote(s)}) AND length(rest) - {len(s)} >= 3")
+    rest = f"{t}[length({front}) + 1:]"
+    return f"list_transform({words}, lambda {t}: {let(rest, 'rest', f'left(rest, length(rest) - length({back}))')})"
+
+
+def clitics(words: str, negation: bool) -> str:
+    front = _first_of(L.PROCLITICS, lambda p: f"starts_with(t, {quote(p)}) AND length(t) - {len(p)} >= 3" + ("" if len(p) > 1 else f" AND contains({quote(L.AFTER_SHORT_PROCLITIC)}, t[2:2])"))
+    back = _first_of(L.ENCLITICS, lambda s: f"ends_with(rest, {quote(s)}) AND length(rest) - {len(s)} >= 2")
+    usual = let(front, "p", let("t[length(p) + 1:]", "rest", let(back, "e", "[p, left(rest, length(rest) - length(e)), e]")))
+    denied = f"CASE WHEN starts_with(t, 'ما') AND ends_with(t, 'ش') AND length(t) >= 5 THEN ['ما', t[3:length(t) - 1], 'ش'] ELSE {usual} END"
+    return f"list_filter(flatten(list_transform({words}, lambda t: {denied if negation else usual})), lambda t: t <> '')"
+
+
+def arabizi_arabic(c: str) -> str:
+    plain = {w.translate(str.maketrans("أإآٱةي", "ااااهى")) for w in L.DARIJA_STOPWORDS}
+    return join(stem("t", without(tokens(arabic(transliterate(limit_repeats(f"lower({c})")), True)), plain)))
+
+
+def msa_clitics_stems(c: str) -> str:
+    plain = {w.translate(str.maketrans("أإآٱ", "اااا")) for w in L.ARABIC_STOPWORDS}
+    return join(stem("t", without(clitics(tokens(arabic(c, False)), False), plain)))
+
+
+def darija_negation(c: str) -> str:
+    plain = {w.translate(str.maketrans("أإآٱةي", "ااااهى")) for w in L.DARIJA_STOPWORDS}
+    cases = " ".join(f"WHEN {quote(a)} THEN {quote(b)}" for a, b in L.DARIJA_VARIANTS.items())
+    return join(without(clitics(f"list_transform({tokens(arabic(c, True))}, lambda t: CASE t {cases} ELSE t END)", True), plain))
+
+
+def for_similarity(c: str) -> str:
+    c = rx(f"translate(coalesce({c}, ''), {quote(L.QUOTES)}, {quote(L.PLAIN_QUOTES)})", r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", " ")
+    c = urls(tags(f"translate({c}, chr(10) || chr(9) || chr(13), '   ')"))
+    # a match from the left is not preceded or followed by a word character anyway
+    c = rx(c, r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)+", " ")
+    c = collapse(rx(c, r"(?i)(?:\[unk\]|<unk>|@-@|@=@)", " "))
+    return rx(c, f"{W}+([,.;:!?\\x{{60C}}\\x{{61B}}\\x{{61F}}])", r"\1")
+
+
+def ascii_letters(c: str) -> str:
+    """The letters that normalised Arabic has, one ASCII character each: edit distances count bytes."""
+    letters = "".join(map(chr, [*range(0x621, 0x63B), *range(0x641, 0x64B)]))
+    return f"translate({c}, '{letters}', '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ')"

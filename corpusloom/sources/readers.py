@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,10 +36,10 @@ def nulls_for_na(df: DataFrame) -> DataFrame:
 
 
 def read_csv_any(spark: SparkSession, path) -> DataFrame:
-    """UTF-8, or Latin-1 where the bytes are not UTF-8 (they show as replacement characters)."""
-    df = read_csv_na(spark, path)
-    odd = df.where(F.concat_ws("", *df.columns).contains("�")).limit(1)
-    return read_csv_na(spark, path, "ISO-8859-1") if odd.count() else df
+    """UTF-8, or Latin-1 where any line's bytes are not UTF-8. One scan of bytes decides, up to the
+    first such line."""
+    odd = spark.read.text(path).where(~F.is_valid_utf8("value"))
+    return read_csv_na(spark, path, "UTF-8" if odd.isEmpty() else "ISO-8859-1")
 
 
 def read_jsonl(spark: SparkSession, path, schema, key: str | None = None, order: str | None = None) -> DataFrame:
@@ -76,6 +77,17 @@ def with_row_index(df: DataFrame, order: list[str]) -> DataFrame:
     return ranged.join(F.broadcast(offsets), "__part").withColumn("row_index", F.col("__offset") + F.col("__at")).drop("__part", "__at", "__offset")
 
 
+def read_env(path: str) -> dict[str, str]:
+    """KEY=VALUE lines of the driver's file, if it is there; what the environment has wins."""
+    found: dict[str, str] = {}
+    if Path(path).is_file():
+        for line in Path(path).read_text(encoding="utf-8").splitlines():
+            key, equals, value = line.strip().partition("=")
+            if equals and key and not key.startswith("#"):
+                found[key.strip()] = value.strip().strip("\"'")
+    return {k: os.environ.get(k, v) for k, v in found.items()}
+
+
 def discover(folder: str, preferred: list[str], pattern: str = "*.csv") -> list[str]:
     """Existing input files, preferred ones first, each once. For folders of the driver."""
     found = [*(Path(folder) / p for p in preferred), *sorted(Path(folder).glob(pattern))]

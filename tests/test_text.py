@@ -55,6 +55,12 @@ def test_case(results, k):
     assert results[k] == CASES[k][2], CASES[k][1]
 
 
+def test_porter_extensions():
+    words = "dies tied spied enjoy happy geology hopefully possibly nationally news skies"
+    assert [stem(w) for w in words.split()] == "die tie spi enjoy happi geolog hope possibl nation news sky".split()
+    assert [stem(w, extended=False) for w in ("dies", "geology", "enjoy")] == ["di", "geologi", "enjoi"]
+
+
 def test_porter():
     words = "caresses ponies feed agreed motoring hopping falling filing happy relational triplicate revival cease"
     assert [stem(w) for w in words.split()] == "caress poni feed agre motor hop fall file happi relat triplic reviv ceas".split()
