@@ -4,12 +4,13 @@ No piece of such a model has a space inside, only in front, so a text is cut bef
 spaces; and between Latin letters and other characters, and around line feeds, if (as is checked)
 no piece has the two together. The units repeat: their ids are remembered up to a bound. Unknown units of a batch become flat arrays of character symbols; each round takes the
 segmented minimum of pair ranks, merges its places from the left at once, and compacts, until no
-pair remains. A rank belongs to the merged piece here, so a merge can make a pair of a better rank
-than its own; further merges of that round then wait (see merging.py). Units over ``LONG`` symbols
-go to the library itself, whose queue is the better tool for one long sequence.
+pair remains, however long a unit is. A rank belongs to the merged piece here, so a merge can make a
+pair of a better rank than its own; further merges of that round then wait (see merging.py).
 
 Defined cases: null and empty texts give the begin and end ids alone and decode to an empty text;
-characters outside the vocabulary become byte pieces; U+2581 decodes to a space, as in the library.
+characters outside the vocabulary become byte pieces; U+2581 decodes to a space, as in the library;
+very long texts are encoded whole; repeated rows are each returned; an empty table gives no rows;
+columns besides the text are carried in a struct, so any name is fine.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from corpusloom.llm.shared import bounded_batches, slices
 from corpusloom.llm.token_counts import LETTERS, tokenizer_path
 
 SPACE = "▁"
-LONG = 2048
 REMEMBERED = 300_000
 
 
@@ -73,17 +73,14 @@ class PieceModel:
     def encode_units(self, units: list[str]) -> list[bytes]:
         """The ids of each unit, as little-endian unsigned 32-bit integers."""
         out = [b""] * len(units)
-        short = [i for i, u in enumerate(units) if len(u) <= LONG]
-        for i in set(range(len(units))).difference(short):
-            out[i] = np.array(self._by_library(units[i]), "<u4").tobytes()
-        points = np.frombuffer("".join([units[i] for i in short]).encode("utf-32-le"), np.uint32)
+        points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
         flat = self.of_point[points].astype(np.int64)
         # a character in no piece is in no pair; its negative number says where it stands
         unknown = np.flatnonzero(flat < 0)
         flat[unknown] = -1 - unknown
-        left, counts = merge_rounds(flat, np.fromiter((len(units[i]) for i in short), np.int64, len(short)), self.pairs, checked=True)
+        left, counts = merge_rounds(flat, np.fromiter(map(len, units), np.int64, len(units)), self.pairs, checked=True)
         raw, ends = left.astype("<u4").tobytes(), np.cumsum(counts)
-        for i, a, b in zip(short, (4 * (ends - counts)).tolist(), (4 * ends).tolist(), strict=True):
+        for i, (a, b) in enumerate(zip((4 * (ends - counts)).tolist(), (4 * ends).tolist(), strict=True)):
             out[i] = raw[a:b]
         odd = np.unique(np.searchsorted(ends, np.flatnonzero((left < 0) | (left >= self.size)), side="right"))
         for k in odd.tolist():
@@ -93,17 +90,9 @@ class PieceModel:
                     ids.append(v)
                 else:
                     ids += [self.byte_id[b] for b in (chr(points[-1 - v]) if v < 0 else self.spelled[v]).encode()]
-            out[short[k]] = np.array(ids, "<u4").tobytes()
+            out[k] = np.array(ids, "<u4").tobytes()
         return out
 
-    def _by_library(self, unit: str) -> list[int]:
-        """A unit that begins with a space is a whole text to the library; else what it puts in
-        front is taken off again, by way of a line feed that stays alone."""
-        if unit[0] == SPACE:
-            return self.library.encode(unit[1:])
-        lead = self.library.encode("\n")
-        return self.library.encode("\n" + unit)[len(lead) :]
-
     def decode_unit(self, ids) -> str:
         """The text of a unit's ids; byte pieces are UTF-8."""
         said = "".join([self.pieces[i] for i in ids])

@@ -22,7 +22,8 @@ PIECES = ["a", "b", "the", " ", "  ", "\n", "\t", "é", "'s", "'ll", "12", "<|en
 def texts():
     r = random.Random(7)
     some = ["".join(r.choice(PIECES) for _ in range(r.randint(0, 30))) for _ in range(3000)]
-    return [*some, "a" * 3000, " " * 3000 + "x", "x" * 3000 + " y", "", None, " ", "\n"]
+    long = ["".join(r.choice("abcdefgh") for _ in range(5000)), "".join(chr(r.randrange(0x4E00, 0x4F00)) for _ in range(5000))]
+    return [*some, *long, "a" * 3000, " " * 3000 + "x", "x" * 3000 + " y", "", None, " ", "\n"]
 
 
 def test_token_counts_equal_the_library(texts):
