@@ -7,14 +7,15 @@ the cell of pivot p, q.x <= q.p + |q| r. A first search of each query against it
 lower bound of its k-th score; a cell is searched further only for the queries whose upper bound
 reaches it, and only blocks of queries that have such a query receive copies of its rows.
 
-The unit of work is a block of queries against a block of data: cells over ``block_rows`` rows are
-split by a hash, so a cell of a third of all rows is many units, and each unit returns at most k
-rows a query. Products are exact: by floating point where no sum can pass 2**53, else by Python
-integers. Pivots and cell summaries, of which there are at most ``pivots``, are all that reaches
-the driver.
-
-Defined cases: vectors that are null, empty, or hold a null or a non-finite component take no part,
-nor do null ids; vectors of unlike lengths meet as if the shorter ended in zeros; components and
+Cells over ``block_rows`` rows are split by a hash. The unit of work is a block of queries against a
+lane, which holds some cells and parts of cells by a hash, so a cell of a third of all rows is in many
+units; each query of the block is held against its own cells there, and a unit returns at most k rows
+for it. Products are exact: by floating point where no sum can pass 2**53, else by Python
+integers. There are as many pivots as the square root of the rows, 64 at least and 1,024 at most; they
+and their cells' summaries are all that reaches the driver.
+
+Defined cases: vectors that are null, or hold a null or a non-finite component take no part, nor do
+null ids; an empty vector scores 0 with all; vectors of unlike lengths, very long ones too, meet as if the shorter ended in zeros; components and
 scores outside 64 bits stop at its ends; ties go to the smaller id; a repeated id is one more
 candidate (and one more query under the same id, of which the results are merged); fewer candidates
 than k give all of them; empty tables give no rows.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.shared import bounded_batches, materialize
 
-PIVOTS, FIRST_CELLS, BLOCK_ROWS, QUERY_ROWS = 64, 4, 8192, 4096
+LEAST_PIVOTS, MOST_PIVOTS, FIRST_CELLS, BLOCK_ROWS, LANE_ROWS, QUERY_ROWS = 64, 1024, 4, 8192, 32768, 4096
 EXACT, LIMIT = 2.0**53, 2**63 - 1
 PAIRS = "query_id long, vec_id long, score long"
 
@@ -137,14 +138,20 @@ def _routing(cells: Cells, radius: np.ndarray, first: int, again: bool):
 
 def _solving(k: int):
     def solve(queries: pa.Table, data: pa.Table) -> pa.Table:
-        if not queries.num_rows or not data.num_rows:
-            return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
-        ids, x = data.column("id").to_numpy(), matrix(data.column("v"))
-        found = []
-        for start in range(0, queries.num_rows, 256):
-            part = queries.slice(start, 256)
-            found.append(best(part.column("id").to_numpy(), ids, products(matrix(part.column("v")), x), k))
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), (np.concatenate(x) for x in zip(*found, strict=True)), strict=True)))
+        found = [(np.zeros(0, np.int64),) * 3]
+        cells, at = queries.column("cell").to_numpy(), data.column("cell").to_numpy()
+        for cell in np.intersect1d(cells, at).tolist():
+            own, members = queries.take(np.flatnonzero(cells == cell)), data.take(np.flatnonzero(at == cell))
+            ids, x = members.column("id").to_numpy(), matrix(members.column("v"))
+            for start in range(0, own.num_rows, 256):
+                part = own.slice(start, 256)
+                found.append(best(part.column("id").to_numpy(), ids, products(matrix(part.column("v")), x), k))
+        q, v, s = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((v, -s, q))
+        q, v, s = q[order], v[order], s[order]
+        head = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1]))) if len(q) else np.zeros(0, np.int64)
+        near = np.arange(len(q)) - np.repeat(head, np.diff(np.append(head, len(q)))) < k
+        return pa.table({"query_id": q[near], "vec_id": v[near], "score": s[near]})
 
     return solve
 
@@ -154,14 +161,17 @@ def top(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def knn_join(data: DataFrame, queries: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+def knn_join(data: DataFrame, queries: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int | None = None, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, lane_rows: int = LANE_ROWS) -> DataFrame:
     """The k highest scores of each row of ``data`` that ``queries`` (a condition) marks, among all
     other rows: query_id, rank, vec_id, score."""
     bounded_batches(data.sparkSession, 4096)
     vector = F.col(f"`{vector_col}`").cast("array<double>")
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     whole = F.transform(vector, lambda x: F.least(F.greatest(F.floor(F.least(F.greatest(x * scale, F.lit(-9e18)), F.lit(9e18))), F.lit(-(2**62))), F.lit(2**62)).cast("long"))
-    rows = data.where(F.col(f"`{id_col}`").isNotNull() & (F.size(vector) > 0) & fine).select(F.col(f"`{id_col}`").cast("long").alias("id"), whole.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
+    rows = data.where(F.col(f"`{id_col}`").isNotNull() & fine).select(F.col(f"`{id_col}`").cast("long").alias("id"), whole.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
+    total = rows.count()
+    pivots = pivots or int(min(max(total**0.5, LEAST_PIVOTS), MOST_PIVOTS))
+    lanes = -(-total // lane_rows) or 1
     sample = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
     cells = Cells(matrix([r[1] for r in sample] or [[0]]))
     schema = "id long, v array<long>, cell int, far double"
@@ -177,12 +187,15 @@ def knn_join(data: DataFrame, queries: Column, k: int = 20, scale: int = 64, id_
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     routed = "id long, v array<long>, block int, cell int"
 
+    lane = F.pmod(F.hash("cell", "part"), F.lit(lanes)).alias("lane")
+
     def search(wanted: DataFrame) -> DataFrame:
         wanted = materialize(wanted, "routes")
-        needs = wanted.select(F.col("block").alias("block"), F.col("cell").alias("cell")).distinct()
-        copies = placed.join(F.broadcast(needs) if blocks * pivots <= 100_000 else needs, "cell").select(F.col("block").alias("block"), F.col("cell").alias("cell"), F.col("part").alias("part"), "id", "v")
-        spread = wanted.select("id", "v", F.col("block").alias("block"), F.col("cell").alias("cell"), F.explode(F.sequence(F.lit(0), split - 1)).alias("part"))
-        keys = ["block", "cell", "part"]
+        needs = materialize(wanted.select("block", "cell").distinct(), "needs")
+        copies = placed.join(needs, "cell").select("block", lane, "cell", "id", "v")
+        parts = wanted.select("id", "v", "block", "cell", F.explode(F.sequence(F.lit(0), split - 1)).alias("part"))
+        spread = parts.select("block", lane, "cell", "id", "v").distinct() if lanes > 1 else wanted.select("block", F.lit(0).alias("lane"), "cell", "id", "v")
+        keys = ["block", "lane"]
         return top(spread.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(_solving(k), PAIRS), k).drop("rank")
 
     begun = materialize(search(asked.mapInArrow(_routing(cells, radius, FIRST_CELLS, False), routed)), "begun")
@@ -200,10 +213,10 @@ def op3_knn_join(spark, sf_dir: str) -> DataFrame:
 OP3_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
   SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
-    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * d.v[i])) AS BIGINT) AS score
+    CAST(coalesce(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * d.v[i])), 0) AS BIGINT) AS score
   FROM v q JOIN v d ON q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id
 ), ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs

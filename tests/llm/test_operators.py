@@ -85,14 +85,15 @@ def test_knn_join(spark):
     rows = [(i, (r.normal(size=6) / 3).tolist()) for i in range(150)] + [(i, [0.5] * 6) for i in range(150, 260)]
     rows += [(300, None), (301, [0.1, None]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (None, [0.1] * 6), (304, []), (305, [0.9] * 9), (306, [2.0])]
     data = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("cell", F.lit(1))
-    got = knn_join.knn_join(data, F.col("vec_id") % 20 == 0, k=7, pivots=8, block_rows=40, query_rows=5)
-    fine = {i: np.floor(64 * np.array([*v, *[0.0] * (9 - len(v))])) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()}
+    fine = {i: np.floor(64 * np.array([*v, *[0.0] * (9 - len(v))])) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()}
     expected = []
     for q in sorted(i for i in fine if i % 20 == 0):
         scores = sorted((-int(fine[q] @ fine[x]), x) for x in fine if x != q)[:7]
         expected += [(q, k, x, -s) for k, (s, x) in enumerate(scores, 1)]
-    assert sorted(map(tuple, got.collect())) == expected
-    assert knn_join.knn_join(data.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+    for lane_rows in (30, 10_000):
+        got = knn_join.knn_join(data, F.col("vec_id") % 20 == 0, k=7, pivots=8, block_rows=40, query_rows=5, lane_rows=lane_rows)
+        assert sorted(map(tuple, got.collect())) == expected
+    assert 304 in fine and knn_join.knn_join(data.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
 def test_simhash_dedup(docs, none):
