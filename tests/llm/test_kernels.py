@@ -111,4 +111,4 @@ def test_isotonic_and_shed():
 
 def test_models_without_labels():
     assert toxicity.ToxicityModel([[], []], [0, 0]).share(0.0, 0) == 0
-    assert quality.QualityModel(np.zeros((0, 10)), np.zeros(0), np.zeros(0), 1.0).probability(np.zeros((2, 10))).min() > 0.99
+    assert quality.QualityModel(np.zeros((0, 266)), np.zeros(0), np.zeros(0), 1.0).probability(np.zeros((2, 266))).min() > 0.99

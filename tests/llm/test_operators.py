@@ -218,6 +218,45 @@ def test_quality_on_junk(spark):
     assert quality.score_quality(docs.where("false"), labels.where("false"), F.col("source"), F.col("lang")).count() == 0
 
 
+def test_quality_posteriors_by_brute_force(spark):
+    import random
+
+    r = random.Random(5)
+    prose, junk = "stone water light garden from walked the and".split(), "!!! ### 000 %%% 123 ||| ***".split()
+    rows = []
+    for i in range(400):
+        host = r.choice(["good", "bad", "mixed", None])
+        path = r.choice("pqr") if host != "mixed" else f"x{i}"
+        bad = r.random() < {"good": 0.05, "bad": 0.8}.get(host, 0.4)
+        rows.append((i, " ".join(r.choices([*prose, *junk] if r.random() < 0.3 else junk if bad else prose, k=40)), host, path))
+    docs = spark.createDataFrame([*rows, rows[0], (None, None, None, None), (401, "", "good", None)], "doc_id long, text string, source string, lang string").withColumn("path", F.lit("clash"))
+    labels = spark.createDataFrame([(i, int(sum(c.isalpha() for c in t) > 60)) for i, t, *_ in rows[::2]], "doc_id long, quality int")
+    got = [(x["row"]["host"], x["row"]["path"], x["p"], x["host_mean"], x["path_mean"], x["score"], x["keep"]) for x in quality.score_quality(docs, labels, F.col("source"), F.col("lang")).collect()]
+    assert len(got) == 403
+    n, mean = len(got), sum(g[2] for g in got) / len(got)
+    by_host, by_path = defaultdict(list), defaultdict(list)
+    for h, q, p, *_ in got:
+        by_host[h].append(p)
+        by_path[h, q].append(p)
+    average = lambda x: sum(x) / len(x)
+    noise = sum((p - average(x)) ** 2 for x in by_path.values() for p in x) / (n - len(by_path))
+
+    def weight(groups, parent, count):
+        spread = sum(len(x) * (average(x) - parent(g)) ** 2 for g, x in groups.items())
+        between = (spread - (count - 1) * noise) / (n - sum(len(x) ** 2 for x in groups.values()) / n)
+        return min(max(noise / between, 1.0), 1e4) if between > 0 else 1e4
+
+    a = weight(by_host, lambda h: mean, len(by_host))
+    b = weight(by_path, lambda g: average(by_host[g[0]]), len(by_path) - len(by_host) + 1)
+    odds = lambda p: np.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    for h, q, p, host_mean, path_mean, score, keep in got:
+        above = (sum(by_host[h]) - p + a * mean) / (len(by_host[h]) - 1 + a)
+        here = (sum(by_path[h, q]) - p + b * above) / (len(by_path[h, q]) - 1 + b)
+        expected = 1 / (1 + np.exp(-(odds(p) - odds(mean) + odds(here))))
+        assert np.allclose((host_mean, path_mean, score), (above, here, expected), atol=1e-9) and keep == (score >= 0.5)
+    assert a < 1e4
+
+
 def test_decontamination(spark, docs, none):
     items = spark.createDataFrame([(1, PASSAGE), (2, "BETA, gamma!"), (3, None), (4, "***"), (5, "never seen"), (6, " ".join(f"w{i % 900} w{i * 7 % 1300}" for i in range(100, 112)))], "item_id long, text string").withColumn("words", F.lit(1))
     got = decontamination.decontaminate(docs, items).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
