@@ -6,7 +6,8 @@ at once, and their surviving symbols counted. Strings of special tokens inside a
 text count as one token, as the tokenizers library does by default.
 
 Defined cases: a null text counts as an empty one (0 tokens); a null id stays null; repeated rows
-and columns with any name are kept as they are; very long texts are counted whole.
+and columns with any name are kept as they are; very long texts are counted whole; an empty table
+gives no rows. A file with another pre-tokenizer, or with a normalizer, is refused.
 """
 
 from __future__ import annotations
@@ -43,6 +44,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_level(path: str) -> dict:
+    """A tokenizer file, if it is cut and merged as this module does."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    odd = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    added = [t["content"] for t in spec.get("added_tokens") or [] if any(t.get(k) for k in ("normalized", "lstrip", "rstrip", "single_word"))]
+    if not plain or spec.get("normalizer") or odd or added:
+        raise ValueError(f"not a plain byte-level BPE: {path} {cut.get('type')} {odd} {added}")
+    return spec
+
+
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte: itself if it prints in Latin-1, else the
     next one from U+0100."""
@@ -55,11 +69,11 @@ class ByteMerges:
     """The merges of a tokenizer file, over byte symbols."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = byte_level(path)
         vocab = spec["model"]["vocab"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-        self.specials = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
+        # where one begins with another, the longer one is meant
+        self.specials = sorted((t["content"] for t in spec.get("added_tokens") or [] if t["content"]), key=len, reverse=True)
         self.of_byte = np.array([vocab[c] for c in byte_characters()], np.int64)
         left, right, merged = (np.array(x, np.int64) for x in zip(*((vocab[a], vocab[b], vocab[a + b]) for a, b in merges), strict=True))
         self.pairs = PairTable(left, right, np.arange(len(merges)), merged)

@@ -12,19 +12,22 @@ task that runs twice does no harm. A file::
 
 A key is the id as 8 bytes big-endian, sign bit flipped; a null id is the empty key and sorts first.
 A value holds the ids, of 2 or 4 bytes by the vocabulary's size. Equal ids are separate entries,
-in the order of a hash of their texts. Defined cases: a null text is an empty one, and holds the
-end id alone; an empty table writes no entry; very long texts are one entry.
+in the order of a hash of their texts, and ranges are cut by id and that hash, so many rows of one id,
+or of none, are in several files. A lookup reads the footer, the index, the filter and the blocks of
+its key by their ranges. Defined cases: a null text is an empty one, and holds the end id alone; an
+empty table writes no entry; very long texts are one entry; columns besides id and text are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shared import MIB, bounded_batches, materialize, pieces_for, shared_dir, shed, slices, text_bytes
-from corpusloom.llm.token_counts import byte_characters, pretokens, tokenizer_path
+from corpusloom.llm.token_counts import byte_characters, byte_level, pretokens, tokenizer_path
 
 MAGIC, FOOTER = b"CLSSTAB1", struct.Struct("<QQQQQI8s")
 BLOCK_BYTES, BITS_A_KEY, PROBES = 64 * 1024, 10, 7
@@ -119,14 +122,14 @@ class TableWriter:
 
 
 class Table:
-    """A table read whole; a lookup touches the filter, the index and the blocks of its key."""
+    """A table of which only what is needed is read. read: the bytes at an offset, of a length."""
 
-    def __init__(self, data: bytes):
-        self.data, self.unpack = data, zstandard.ZstdDecompressor()
-        index, length, self.bloom, self.bits, self.entries, self.width, magic = FOOTER.unpack(data[-FOOTER.size :])
+    def __init__(self, read: Callable[[int, int], bytes], size: int):
+        self.read, self.unpack = read, zstandard.ZstdDecompressor()
+        index, length, self.bloom, self.bits, self.entries, self.width, magic = FOOTER.unpack(read(size - FOOTER.size, FOOTER.size))
         if magic != MAGIC:
             raise ValueError("not a token table")
-        raw, at = self.unpack.decompress(data[index : index + length]), 0
+        raw, at = self.unpack.decompress(read(index, length)), 0
         self.last: list[bytes] = []
         self.blocks: list[tuple[int, int]] = []
         while at < len(raw):
@@ -136,9 +139,23 @@ class Table:
             n, at = read_varint(raw, at)
             self.blocks.append((offset, n))
 
+    @classmethod
+    def of(cls, data: bytes) -> Table:
+        return cls(lambda start, n: data[start : start + n], len(data))
+
+    @classmethod
+    def opened(cls, path: str) -> Table:
+        system, inside = open_path(path)
+        file = system.open_input_file(inside)
+        return cls(lambda start, n: file.read_at(n, start), file.size())
+
+    @functools.cached_property
+    def filter(self) -> bytes:
+        return self.read(self.bloom, -(-self.bits // 8))
+
     def block(self, k: int) -> Iterator[tuple[bytes, bytes]]:
         offset, length = self.blocks[k]
-        raw, at, key = self.unpack.decompress(self.data[offset : offset + length]), 0, b""
+        raw, at, key = self.unpack.decompress(self.read(offset, length)), 0, b""
         while at < len(raw):
             shared, at = read_varint(raw, at)
             rest, at = read_varint(raw, at)
@@ -158,7 +175,7 @@ class Table:
     def get(self, doc_id: int | None) -> list[np.ndarray]:
         """The ids of every entry with this document id."""
         key = key_of(doc_id)
-        if not all(self.data[self.bloom + (p >> 3)] >> (p & 7) & 1 for p in probes(key, self.bits)):
+        if not all(self.filter[p >> 3] >> (p & 7) & 1 for p in probes(key, self.bits)):
             return []
         low, high = 0, len(self.last)
         while low < high:
@@ -184,7 +201,9 @@ class Encoder(dict):
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.kind = {array(c).itemsize: c for c in "HI"}[self.width]
         self.written = dict(enumerate(byte_characters()))
-        self.special = {t.content: array(self.kind, [i]).tobytes() for i, t in self.library.get_added_tokens_decoder().items()}
+        byte_level(path)
+        known = sorted(self.library.get_added_tokens_decoder().items(), key=lambda x: -len(x[1].content))
+        self.special = {t.content: array(self.kind, [i]).tobytes() for i, t in known}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def __missing__(self, pretoken: str) -> bytes:
@@ -242,7 +261,7 @@ def _reading(batches):
         for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
             system, inside = open_path(path)
             with system.open_input_stream(inside) as f:
-                table = Table(f.read())
+                table = Table.of(f.read())
             rows: list[tuple] = []
             for key, value in table:
                 ids = table.ids(value).astype("<u4")
@@ -262,7 +281,7 @@ def write_tables(docs: DataFrame, tokenizer: str, end: int = 2, id_col: str = "d
     folder = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
     system, inside = open_path(folder)
     system.create_dir(inside, recursive=True)
-    ordered = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")).repartitionByRange(n, "id").sortWithinPartitions("id", F.xxhash64("text"))
+    ordered = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")).repartitionByRange(n, "id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"))
     manifest = materialize(ordered.mapInArrow(_writing(folder, tokenizer, end), "shard int, path string, docs long, tokens long"), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     return manifest.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))

@@ -1,5 +1,6 @@
 """The kernels without Spark, against libraries or brute force."""
 
+import json
 import random
 from collections import Counter
 
@@ -69,7 +70,7 @@ def test_fingerprint_of_few_words():
     assert simhash_dedup.fingerprint(b"A\tb", 3) == xxhash.xxh64_intdigest(b"a b", 42)
 
 
-def test_table_lookup():
+def test_table_lookup(tmp_path):
     class Out(bytearray):
         def write(self, data):
             self.extend(data)
@@ -79,9 +80,21 @@ def test_table_lookup():
     for i in ids:
         writer.add(key_of(i), np.array([7, (i or 0) % 50_000], "<u2").tobytes())
     writer.close()
-    table = Table(bytes(out))
+    table = Table.of(bytes(out))
     assert table.entries == len(ids) == len(list(table)) and len(table.blocks) > 1
     assert [x.tolist() for x in table.get(10)] == [[7, 10]] and table.get(11) == [] and len(table.get(60_001)) == 2 and len(table.get(None)) == 1
+    (tmp_path / "t.sst").write_bytes(out)
+    ranged, read = Table.opened(f"file://{tmp_path}/t.sst"), []
+    inner = ranged.read
+    ranged.read = lambda start, n: read.append(n) or inner(start, n)
+    assert [x.tolist() for x in ranged.get(10)] == [[7, 10]] and len(read) == 2 and sum(read) < len(out)
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    spec = {"model": {"vocab": {}, "merges": []}, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        TokenCounter(str(tmp_path / "t.json"))
 
 
 def test_packing_balances_all_dimensions():
