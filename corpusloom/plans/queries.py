@@ -364,27 +364,27 @@ def report_values(spark, sf_dir):
 
 # -------------------------------------------------------------------------- similarity
 
-_MIX = "list_transform(range(1, len(a) + 1), lambda i: w * a[i] + (1 - w) * b[i])"
+_MIX = "list_transform(range(1, len(a) + 1), lambda i: {w} * a[i] + (1 - {w}) * b[i])"
 _COS = "(list_sum(list_transform(range(1, len({x}) + 1), lambda i: {x}[i] * {y}[i])) / (sqrt(list_sum(list_transform({x}, lambda v: v * v))) * sqrt(list_sum(list_transform({y}, lambda v: v * v)))))"
 _VECTORS = f"""v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-p AS (SELECT x.vec_id, x.e AS a, y.e AS b, (x.vec_id % 5) * 0.25 AS w FROM v x JOIN v y ON y.vec_id = (x.vec_id + 7) % (SELECT count(*) FROM v)),
-m AS (SELECT vec_id, a, b, {_MIX} AS c FROM p),
-s AS (SELECT vec_id, {_COS.format(x='a', y='c')} AS da_en, {_COS.format(x='c', y='b')} AS en_msa, {_COS.format(x='b', y='a')} AS az_da FROM m),
+p AS (SELECT x.vec_id, x.e AS a, y.e AS b, (x.vec_id % 5) * 0.25 AS w, (x.vec_id % 3) * 0.5 AS u FROM v x JOIN v y ON y.vec_id = (x.vec_id + 7) % (SELECT count(*) FROM v)),
+m AS (SELECT vec_id, a, b, {_MIX.format(w='w')} AS c, {_MIX.format(w='u')} AS d FROM p),
+s AS (SELECT vec_id, {_COS.format(x='a', y='c')} AS da_en, {_COS.format(x='c', y='b')} AS en_msa, {_COS.format(x='d', y='a')} AS az_da FROM m),
 t AS (SELECT *, (da_en + en_msa + az_da) / 3 AS score FROM s)"""
 
 
 def _vectors(spark, sf_dir: str) -> DataFrame:
-    """Four vectors a row: a mixture of a vector and another, by a weight from the id."""
+    """Four vectors a row: a vector, another, and two mixtures of them by weights from the id."""
     v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("a"))
     n = v.agg(F.count("*").alias("n"))
     other = v.select(F.col("vec_id").alias("other"), F.col("a").alias("b"))
     pairs = v.crossJoin(F.broadcast(n)).withColumn("other", (F.col("vec_id") + 7) % F.col("n")).join(other, "other")  # one row of n
-    w = (F.col("vec_id") % 5) * 0.25
-    return pairs.select("vec_id", "a", "b", F.zip_with("a", "b", lambda x, y: w * x + (1 - w) * y).alias("c"))
+    mixed = lambda w: F.zip_with("a", "b", lambda x, y: w * x + (1 - w) * y)
+    return pairs.select("vec_id", "a", "b", mixed((F.col("vec_id") % 5) * 0.25).alias("c"), mixed((F.col("vec_id") % 3) * 0.5).alias("d"))
 
 
 def _scored(spark, sf_dir: str) -> DataFrame:
-    return similarity.pair_scores(_vectors(spark, sf_dir), {"darija_arabic": "a", "english": "c", "modern_standard_arabic": "b", "darija_arabizi": "b"}, 4)
+    return similarity.pair_scores(_vectors(spark, sf_dir), {"darija_arabic": "a", "english": "c", "modern_standard_arabic": "b", "darija_arabizi": "d"}, 4)
 
 
 @query(f"WITH {_VECTORS} SELECT vec_id, round(da_en, 4) + 0.0 AS similarity_da_en, round(en_msa, 4) + 0.0 AS similarity_en_msa, round(az_da, 4) + 0.0 AS similarity_arabizi_da, round(score, 4) + 0.0 AS similarity_score FROM t")
@@ -463,9 +463,14 @@ def eligibility_reasons(spark, sf_dir):
     return merging.skip_reasons(corpus(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id", 11, 900, "GENERATED", 50).select("data_id", "skip_reason")
 
 
-@query(f"WITH {CORPUS} SELECT data_id, CASE WHEN row_index < 11 OR row_index > 900 THEN 'outside_selected_range' WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'checkpoint' END AS skip_reason FROM corpus")
+_RANGE = f"""WITH {CORPUS}, r AS (SELECT data_id, row_index, CASE WHEN row_index < 11 OR row_index > 900 THEN 'outside_selected_range' WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'checkpoint' END AS reason FROM corpus),
+o AS (SELECT row_index FROM r WHERE reason IS NULL ORDER BY row_index LIMIT 70)
+SELECT data_id, CASE WHEN reason IS NOT NULL THEN reason WHEN row_index NOT IN (SELECT row_index FROM o) THEN 'max_rows' END AS skip_reason FROM r"""
+
+
+@query(_RANGE)
 def range_reasons(spark, sf_dir):
-    return merging.range_reasons(corpus(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id", 11, 900).select("data_id", "skip_reason")
+    return merging.range_reasons(corpus(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id", 11, 900, 70).select("data_id", "skip_reason")
 
 
 @query(f"WITH {CORPUS} SELECT data_id FROM corpus WHERE row_index <= 100")
@@ -481,7 +486,8 @@ def label_rows_to_canonical(spark, sf_dir):
 
 # -------------------------------------------------------------------------- model corrections
 
-_ANSWER = "CASE WHEN doc_id % 4 = 0 THEN '{\"english\": {\"corrected\": \" Better @-@ text \", \"issues\": \"typo\"}, \"global_notes\": \"n\"}' WHEN doc_id % 4 = 1 THEN '{\"darija_arabizi\": {\"corrected\": \"\", \"issues\": [\"a\", \"b\"]}}' WHEN doc_id % 4 = 2 THEN 'no json' ELSE NULL END"
+#: Some answers stand between the marks of a code block.
+_ANSWER = "CASE WHEN doc_id % 4 = 0 THEN CASE WHEN doc_id % 8 = 0 THEN '```json' || chr(10) ELSE '' END || '{\"english\": {\"corrected\": \" Better @-@ text \", \"issues\": \"typo\"}, \"global_notes\": \"n\"}' || CASE WHEN doc_id % 8 = 0 THEN chr(10) || '```' ELSE '' END WHEN doc_id % 4 = 1 THEN '{\"darija_arabizi\": {\"corrected\": \"\", \"issues\": [\"a\", \"b\"]}}' WHEN doc_id % 4 = 2 THEN 'no json' ELSE NULL END"
 _ADOPT = f"""WITH {CORPUS} SELECT data_id, CASE WHEN doc_id % 4 = 0 THEN 'Better - text' ELSE {Q.strip('english')} END AS english,
  CASE WHEN doc_id % 4 = 0 AND 'Better - text' <> {Q.strip('english')} THEN 'english' ELSE '' END AS changed_fields,
  CASE WHEN doc_id % 4 < 2 THEN 'VALIDATED' ELSE 'ERROR' END AS status,
