@@ -77,8 +77,9 @@ def shed(known: dict, most: int) -> None:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, size: int, most_bytes: int, allowed: Column | None = None) -> tuple[list[list[bytes | None]], list[int]]:
     """Texts of at most ``size`` rows labelled 0 and as many labelled 1, in the order of a hash of
-    the id, without those over ``most_bytes``; and how many labels of each kind there are. Only ids
-    are sorted; they are then broadcast, 2 * size at most, so no text is shuffled. ``allowed`` is a
+    the id, without those over ``most_bytes`` (of an id that repeats, the least text); and how many
+    labels of each kind there are. Only ids are sorted; they are then broadcast, 2 * size at most, so
+    no other text moves. ``allowed`` is a
     condition on the column ``id``."""
     ids = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
     ids = ids if allowed is None else ids.where(allowed)
@@ -86,7 +87,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     chosen = [tuple(r) for y in (0, 1) for r in ids.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(size).collect()]
     wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "id long, y int"))
     text = F.col(f"`{text_col}`").cast("string")
-    rows = docs.where(F.coalesce(F.octet_length(text), F.lit(0)) <= most_bytes).select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")).join(wanted, "id").select("y", "text").collect()
+    rows = docs.where(F.coalesce(F.octet_length(text), F.lit(0)) <= most_bytes).select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")).join(wanted, "id").groupBy("id", "y").agg(F.min("text").alias("text")).select("y", "text").collect()
     texts: list[list[bytes | None]] = [[], []]
     for y, t in rows:
         texts[y].append(None if t is None else t.encode())

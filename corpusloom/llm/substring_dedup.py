@@ -19,8 +19,9 @@ rules its segment out before any text moves. Steps:
 5. chunks mark the words that repeated windows cover.
 
 Each group is bounded: a chunk and a shard by their bytes, the rows of one anchor by the number
-of chunks. Defined cases: null and blank texts have no words and keep nothing; a text with fewer
-words than the window keeps all; repeated rows count as separate documents; an empty table gives
+of chunks. (Rows that are alike in all columns are in one chunk.) Defined cases: null and blank texts
+have no words and keep nothing; very long texts are read whole; a text with fewer words than the
+window keeps all; repeated rows count as separate documents; an empty table gives
 an empty result; columns that ``docs`` has besides are carried in a struct, so any name is fine.
 """
 

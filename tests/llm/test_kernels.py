@@ -70,6 +70,19 @@ def test_fingerprint_of_few_words():
     assert simhash_dedup.fingerprint(b"A\tb", 3) == xxhash.xxh64_intdigest(b"a b", 42)
 
 
+@pytest.mark.parametrize("n", [3, 4, 50, 40_000])
+def test_fingerprint_by_brute_force(n):
+    import xxhash
+
+    r = random.Random(n)
+    words = [r.choice(["Alpha", "beta", "GAMMA", "\u00c9t\u00e9", "x"]) + str(r.randrange(50)) for _ in range(n)]
+    text = "\n".join(words).encode()
+    low = [w.lower() if w.isascii() else w for w in words]
+    hashes = [xxhash.xxh64_intdigest(" ".join(low[k : k + 3]).encode(), 42) for k in range(n - 2)]
+    expected = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert simhash_dedup.fingerprint(text, 3) == expected
+
+
 def test_table_lookup(tmp_path):
     class Out(bytearray):
         def write(self, data):
