@@ -6,6 +6,7 @@ only where it is the feature (top words, greatest changes, head, row caps).
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -601,8 +602,13 @@ def llm_strict_prompts(spark, sf_dir):
 
 
 def _folder(spark) -> str:
-    """A new folder beside the tables of the session, which all executors see."""
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/corpusloom-{uuid.uuid4().hex}"
+    """A new folder that all executors see: where the cluster names one, else beside its tables; in
+    local runs a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None and spark.sparkContext.master.startswith("local["):
+        base = f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/round-trip-{uuid.uuid4().hex}"
 
 
 _CELLS = {"data_id": "data_id", "cell": "CASE doc_id % 5 WHEN 0 THEN 'NA' WHEN 1 THEN 'null' WHEN 2 THEN '' WHEN 3 THEN 'a \"q\", b' ELSE english END"}
