@@ -10,9 +10,9 @@ without loss. A task reports the spanning forest of its links, never all pairs,
 in proportion to the fingerprints; components are then found by spreading labels.
 
 Equal fingerprints are one node, with its smallest document id. Defined cases: null and blank texts
-have fingerprint 0 and are linked like others; fewer words than the shingle hash whole; very
-long texts are read whole; repeated rows are one node; a null id is no component id unless nothing
-else is in the component (then null); an empty table gives no rows; any other columns are ignored.
+have fingerprint 0 and are linked like others; fewer words than the shingle hash whole; very long
+texts are read whole; repeated rows are one node; a null id is no component id unless nothing else is in the component (then
+null); an empty table gives no rows; any other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,11 +43,6 @@ def fingerprint(text: bytes | None, shingle: int, seed: int = 42) -> int:
     starts = np.concatenate(([0], ends[:-1]))[: len(words) - shingle + 1].tolist()
     hash_of = xxhash.xxh64_intdigest
     hashes = np.array([hash_of(line[a:b], seed) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)], np.uint64)
-    return majority(hashes)
-
-
-def majority(hashes: np.ndarray) -> int:
-    """The bits that more than half of the hashes have."""
     ones = np.zeros(BITS, np.int64)
     for k in range(0, len(hashes), 32768):
         ones += np.unpackbits(hashes[k : k + 32768].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
@@ -271,9 +266,8 @@ def _banding(shingle: int):
             text = batch.column("text").cast(pa.large_binary())
             sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy()
             sets = (shingles(t, shingle, known) for a, b in slices(batch, sizes) for t in text.slice(a, b - a).to_pylist())
-            done = [(len(s), majority(s), band_keys(s)) for s in sets]
-            prints = np.array([p for _, p, _ in done], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), pa.array([n for n, _, _ in done], pa.int64()), pa.array(prints), pa.array([k for *_, k in done], pa.list_(pa.int64()))], ["id", "node", "size", "print", "keys"])
+            done = [(len(s), band_keys(s)) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), pa.array([n for n, _ in done], pa.int64()), pa.array([k for _, k in done], pa.list_(pa.int64()))], ["id", "node", "size", "keys"])
 
     return run
 
@@ -352,33 +346,25 @@ def text_key(text_col: str) -> Column:
     return F.xxhash64(lower_text(text_col), F.octet_length(lower_text(text_col)))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, budget: int = 3, id_col: str = "doc_id", text_col: str = "text", hot: int = 50_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ``component_id``, ``text_key`` (a hash of the lower-case text) and ``least_key`` (that of the
     component's smallest id), where texts are linked whose sets of ``shingle``-word shingles have a
     Jaccard similarity of ``similarity`` or more: that of each pair linked is computed from the texts.
 
-    Candidates come from two joins. The trie join links fingerprints at ``budget`` or fewer differing
-    bits (texts of one fingerprint are held against one of them, not against each other); at 0.8 a
-    pair's fingerprints differ in about ten bits, too many to search for. So texts are also candidates
-    that meet in a band of minima (see ``BANDS``): first each is held against the least and the greatest node of
-    every band it is in, which links most of a large group by as many pairs as it has texts; then all
-    pairs that meet and are not yet in one component, but for those that the share of equal minima
-    tells to be far below (see ``meeting``). Null and blank texts are copies of each other."""
+    Candidates are texts that meet in a band of minima (see ``BANDS``). First each is held against
+    the least and the greatest node of every band it is in, which links most of a large group by as
+    many pairs as it has texts; then all pairs that meet and are not yet in one component, but for
+    those that the share of equal minima tells to be far below (see ``meeting``)."""
     bounded_batches(docs.sparkSession, 256)
     text = lower_text(text_col)
     given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_key(text_col).alias("node"), text.alias("text"))
-    rows = materialize(given.mapInArrow(_banding(shingle), "id long, node long, size long, print long, keys array<long>"), "bands")
-    nodes = materialize(rows.groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank"), F.first("size").alias("size"), F.first("print").alias("print"), F.first("keys").alias("keys")), "nodes")
-    prints = materialize(nodes.groupBy("print").agg(F.min("node").alias("node"), F.max("node").alias("last")), "prints")
-    apart = prints.select("node", F.lit(0).alias("family"), "print", F.lit(None).cast("binary").alias("sign"))
-    same = nodes.join(prints.where("node < last").select("print", F.col("node").alias("a")), "print").where("a <> node").select("a", F.col("node").alias("b"))
-    tried = materialize(links(apart, prints.count(), budget, hot).union(same), "tried")
+    rows = materialize(given.mapInArrow(_banding(shingle), "id long, node long, size long, keys array<long>"), "bands")
+    nodes = materialize(rows.groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank"), F.first("size").alias("size"), F.first("keys").alias("keys")), "nodes")
     each = nodes.select("node", "size", F.posexplode("keys").alias("band", "key"))
     end = F.struct("node", "size")
     ends = materialize(each.groupBy("key").agg(F.min(end).alias("low"), F.max(end).alias("high")).where("low.node < high.node"), "ends")
     met = materialize(each.join(ends.select("key"), "key", "left_semi"), "met")
-    wanted = met.select("node").union(tried.select("a")).union(tried.select("b")).distinct()
-    texts = materialize(given.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    texts = materialize(given.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
 
     def fit(a: str, b: str) -> Column:
         return F.least(a, b) / F.greatest(a, b) >= similarity
@@ -389,7 +375,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
     centre = ends.select("key", F.explode(F.array("low", "high")).alias("centre"))
     tested = met.join(centre, "key").where((F.col("node") != F.col("centre.node")) & fit("size", "centre.size"))
-    tested = materialize(tested.select(F.col("centre.node").alias("a"), F.col("node").alias("b")).union(tried).distinct(), "tested")
+    tested = materialize(tested.select(F.col("centre.node").alias("a"), F.col("node").alias("b")).distinct(), "tested")
     edges = confirmed(tested, "edges")
     ranks = nodes.select("node", "rank")
     labels = component_labels(ranks, materialize(contracted(edges), "forest")).select("node", F.col("label.node").alias("label"))
