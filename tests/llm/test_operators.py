@@ -96,6 +96,35 @@ def test_knn_join(spark):
     assert 304 in fine and knn_join.knn_join(data.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_knn_join_moves_a_query_once_to_a_lane(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    rows, moved = [(i, (r.normal(size=8) / 3).tolist()) for i in range(2000)], []
+
+    def counted(df, tag, write=knn_join.materialize):
+        written = write(df, tag)
+        moved.extend([written.count()] if tag == "routes" else [])
+        return written
+
+    monkeypatch.setattr(knn_join, "materialize", counted)
+    got = knn_join.knn_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=3, pivots=200)
+    x = np.floor(64 * np.array([v for _, v in rows])).astype(int)
+    expected = [(q, k, v, int(x[q] @ x[v])) for q in range(0, 2000, 20) for k, v in enumerate(sorted((v for v in range(2000) if v != q), key=lambda v: (-int(x[q] @ x[v]), v))[:3], 1)]
+    assert sorted(map(tuple, got.collect())) == expected
+    assert len(moved) == 2 and max(moved) <= 100 * 6  # one row for each query and cell would be up to 19,600
+
+
+def test_knn_join_of_great_and_unlike_vectors(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, (r.normal(size=3) * 10.0 ** r.integers(0, 9)).tolist()) for i in range(120)] + [(i, [3e9] * (3 + i % 3)) for i in range(120, 170)] + [(170, r.normal(size=5000).tolist()), (171, [])]
+    x = {i: [int(np.floor(64 * c)) for c in v] for i, v in rows}
+    expected = []
+    for q in range(0, 172, 10):
+        scores = sorted((-min(max(sum(a * b for a, b in zip(x[q], x[v], strict=False)), -(2**63)), 2**63 - 1), v) for v in x if v != q)[:4]
+        expected += [(q, k, v, -s) for k, (s, v) in enumerate(scores, 1)]
+    got = knn_join.knn_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, k=4, pivots=6, block_rows=30, lane_rows=50)
+    assert sorted(map(tuple, got.collect())) == expected
+
+
 def test_simhash_dedup(docs, none):
     got = {(r["doc_id"], r["fingerprint"], r["component_id"]) for r in simhash_dedup.simhash_dedup(docs, 3).collect()}
     prints = [(d, simhash_dedup.fingerprint(t.encode() if t else None, 3)) for d, t in ROWS]
