@@ -43,6 +43,11 @@ def fingerprint(text: bytes | None, shingle: int, seed: int = 42) -> int:
     starts = np.concatenate(([0], ends[:-1]))[: len(words) - shingle + 1].tolist()
     hash_of = xxhash.xxh64_intdigest
     hashes = np.array([hash_of(line[a:b], seed) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)], np.uint64)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
     ones = np.zeros(BITS, np.int64)
     for k in range(0, len(hashes), 32768):
         ones += np.unpackbits(hashes[k : k + 32768].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
@@ -266,8 +271,9 @@ def _banding(shingle: int):
             text = batch.column("text").cast(pa.large_binary())
             sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy()
             sets = (shingles(t, shingle, known) for a, b in slices(batch, sizes) for t in text.slice(a, b - a).to_pylist())
-            done = [(len(s), band_keys(s)) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), pa.array([n for n, _ in done], pa.int64()), pa.array([k for _, k in done], pa.list_(pa.int64()))], ["id", "node", "size", "keys"])
+            done = [(len(s), majority(s), band_keys(s)) for s in sets]
+            prints = np.array([p for _, p, _ in done], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), pa.array([n for n, *_ in done], pa.int64()), pa.array(prints), pa.array([k for *_, k in done], pa.list_(pa.int64()))], ["id", "node", "size", "print", "keys"])
 
     return run
 
@@ -346,25 +352,40 @@ def text_key(text_col: str) -> Column:
     return F.xxhash64(lower_text(text_col), F.octet_length(lower_text(text_col)))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def trie_candidates(nodes: DataFrame, budget: int, hot: int) -> DataFrame:
+    """Pairs (a, b) of nodes with fingerprints at ``budget`` or fewer differing bits, by the trie join: the
+    spanning forest of its links, and each node of a fingerprint that repeats against the least one."""
+    prints = materialize(nodes.groupBy("print").agg(F.min("node").alias("node"), F.max("node").alias("last")), "prints")
+    apart = prints.select("node", F.lit(0).alias("family"), "print", F.lit(None).cast("binary").alias("sign"))
+    found = materialize(links(apart, prints.count(), budget, hot), "links")
+    same = nodes.join(prints.where("node < last").select("print", F.col("node").alias("b")), "print").where("b <> node").select(F.col("node").alias("a"), "b")
+    return materialize(contracted(found, 256).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).unionByName(same), "tried")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, budget: int = 3, hot: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ``component_id``, ``text_key`` (a hash of the lower-case text) and ``least_key`` (that of the
     component's smallest id), where texts are linked whose sets of ``shingle``-word shingles have a
     Jaccard similarity of ``similarity`` or more: that of each pair linked is computed from the texts.
 
-    Candidates are texts that meet in a band of minima (see ``BANDS``). First each is held against
-    the least and the greatest node of every band it is in, which links most of a large group by as
-    many pairs as it has texts; then all pairs that meet and are not yet in one component, but for
-    those that the share of equal minima tells to be far below (see ``meeting``)."""
+    The trie join comes first: it gives as candidates what has SimHash fingerprints of the same shingles
+    at ``budget`` or fewer differing bits, and those that the exact similarity confirms are linked. At 0.8 a
+    pair differs in about ten bits, too many to search for, so beside it candidates are texts that meet
+    in a band of minima (see ``BANDS``) and that the trie join has not brought into one component. First
+    each is held against the least and the greatest node of every band it is in, which links most of a
+    large group by as many pairs as it has texts; then all pairs that meet and are not yet in one
+    component, but for those that the share of equal minima tells to be far below (see ``meeting``)."""
     bounded_batches(docs.sparkSession, 256)
     text = lower_text(text_col)
     given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_key(text_col).alias("node"), text.alias("text"))
-    rows = materialize(given.mapInArrow(_banding(shingle), "id long, node long, size long, keys array<long>"), "bands")
-    nodes = materialize(rows.groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank"), F.first("size").alias("size"), F.first("keys").alias("keys")), "nodes")
-    each = nodes.select("node", "size", F.posexplode("keys").alias("band", "key"))
-    end = F.struct("node", "size")
-    ends = materialize(each.groupBy("key").agg(F.min(end).alias("low"), F.max(end).alias("high")).where("low.node < high.node"), "ends")
-    met = materialize(each.join(ends.select("key"), "key", "left_semi"), "met")
-    texts = materialize(given.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    rows = materialize(given.mapInArrow(_banding(shingle), "id long, node long, size long, print long, keys array<long>"), "bands")
+    nodes = materialize(rows.groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("rank"), F.first("size").alias("size"), F.first("print").alias("print"), F.first("keys").alias("keys")), "nodes")
+    ranks = nodes.select("node", "rank")
+    tried = trie_candidates(nodes.select("node", "print"), budget, hot)
+    each = nodes.select("node", F.posexplode("keys").alias("band", "key"))
+    shared = materialize(each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key"), "shared")
+    met = materialize(each.join(shared, "key", "left_semi"), "met")
+    wanted = met.select("node").union(tried.select("a")).union(tried.select("b")).distinct()
+    texts = materialize(given.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
 
     def fit(a: str, b: str) -> Column:
         return F.least(a, b) / F.greatest(a, b) >= similarity
@@ -373,19 +394,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
         whole = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return materialize(whole.select("a", "b", "text_a", "text_b").mapInArrow(_confirming(shingle, similarity), "a long, b long"), tag)
 
+    def labelled(edges: DataFrame) -> DataFrame:
+        labels = component_labels(ranks, materialize(contracted(edges), "forest")).select("node", F.col("label.node").alias("label"))
+        return met.join(nodes.select("node", "size").join(labels, "node", "left").select("node", "size", F.coalesce("label", "node").alias("label")), "node")
+
+    trie_edges = confirmed(tried, "trie-edges")
+    begun = materialize(labelled(trie_edges), "begun")
+    end = F.struct("node", "size", "label")
+    ends = materialize(begun.groupBy("key").agg(F.min(end).alias("low"), F.max(end).alias("high"), F.min("label").alias("least"), F.max("label").alias("most")).where("least < most").select("key", "low", "high"), "ends")
     centre = ends.select("key", F.explode(F.array("low", "high")).alias("centre"))
-    tested = met.join(centre, "key").where((F.col("node") != F.col("centre.node")) & fit("size", "centre.size"))
+    tested = begun.join(centre, "key").where((F.col("label") != F.col("centre.label")) & fit("size", "centre.size"))
     tested = materialize(tested.select(F.col("centre.node").alias("a"), F.col("node").alias("b")).distinct(), "tested")
-    edges = confirmed(tested, "edges")
-    ranks = nodes.select("node", "rank")
-    labels = component_labels(ranks, materialize(contracted(edges), "forest")).select("node", F.col("label.node").alias("label"))
-    now = met.join(labels, "node", "left").select("key", "band", "node", "size", F.coalesce("label", "node").alias("label"))
+    edges = trie_edges.union(confirmed(tested, "edges"))
+    now = labelled(edges).select("key", "band", "node", "size", "label")
     mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
     now = materialize(now.join(mixed, "key", "left_semi"), "apart")
     signs = texts.join(now.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(_signing(shingle), "node long, sign binary")
     n = pieces_for(now.count(), 1 << 15, max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     rest = now.join(materialize(signs, "signs"), "node").repartition(n, "key").mapInArrow(_meeting(similarity), "a long, b long")
-    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    done = tested.union(tried).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = confirmed(materialize(rest.distinct().join(done, ["a", "b"], "left_anti"), "rest"), "edges")
     labels = component_labels(ranks, materialize(contracted(edges.union(more)), "forest"))
     whole = materialize(ranks.join(labels, "node", "left").select("node", F.coalesce("label", F.struct("rank", "node")).alias("least")), "components")

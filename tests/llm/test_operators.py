@@ -186,6 +186,33 @@ def test_near_duplicates_are_linked_from_the_similarity_on(pairs_by_kind):
     assert {j >= 0.8 for k, j, _ in pairs_by_kind} == {False, True}
 
 
+def test_near_duplicates_by_the_trie_join(spark, monkeypatch):
+    """What the fingerprints bring together is linked where no band of minima meets, if the exact
+    similarity confirms it; fingerprints that are equal or close by chance link nothing."""
+    words = [f"t{i * 37 % 5000}" for i in range(2000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "one", "more"])), (3, " ".join(f"u{w}" for w in words)), (4, " ".join(f"v{w}" for w in words))]
+    prints = [simhash_dedup.majority(simhash_dedup.shingles(t.encode(), 5, simhash_dedup.WordHash())) for _, t in rows]
+    assert (prints[0] ^ prints[1]).bit_count() <= 3 < (prints[0] ^ prints[2]).bit_count()
+    monkeypatch.setattr(simhash_dedup, "_banding", apart_in_bands)
+    got = {r[0]: r[1] for r in simhash_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+    got = {r[0]: r[1] for r in simhash_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA).coalesce(1), budget=40).collect()}
+    assert got[3] == 3 and got[4] == 4
+
+
+def apart_in_bands(shingle, banding=simhash_dedup._banding):
+    """As it is, but that no two texts have a key of a band in common."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in banding(shingle)(batches):
+            ids = batch.column("id").to_pylist()
+            keys = pa.array([[100 * i + k for k in range(simhash_dedup.BANDS)] for i in ids], pa.list_(pa.int64()))
+            yield batch.set_column(batch.schema.get_field_index("keys"), "keys", keys)
+
+    return run
+
+
 def test_near_copies_of_repeated_ids(spark):
     import corpus_pipeline
 
