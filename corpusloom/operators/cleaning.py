@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 import warnings
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import lexicon as L
 from corpusloom.functions import arabic as A
+from corpusloom.functions import rows as R
 from corpusloom.functions import text as X
 
 
@@ -61,6 +64,90 @@ def cleaned_columns(o: CleaningOptions) -> dict[str, Column]:
     }
 
 
+def in_rows(o: CleaningOptions) -> bool:
+    """Whether ``rows`` has all that the options ask for; other options take the expressions."""
+    more = (o.expand_contractions, o.split_arabic_clitics, o.split_darija_negation, o.light_arabic_stemming, o.transliterate_arabizi)
+    return not any(more) and o.english_normalization != "stem" and o.emoji_replacement == " "
+
+
+@functools.lru_cache(maxsize=8)
+def _cleaners(o: CleaningOptions) -> dict:
+    return {
+        "darija_arabic": R.darija(A.normalized_words(o.darija_stopwords, fold=True)),
+        "darija_arabizi": R.arabizi(o.arabizi_stopwords, o.arabizi_most_repeats, not o.arabizi_drop_vowels),
+        "english": R.english(o.english_stopwords),
+        "modern_standard_arabic": R.msa(A.normalized_words(o.msa_stopwords, fold=False)),
+    }
+
+
+def _cleaned_row(o: CleaningOptions, texts, bad_status: bool, full: bool) -> dict:
+    """Of one row, what clean_corpus returns; without ``full`` the reason alone."""
+    clean = {c: f(R.loosened(t or "", o.html_entities)) for (c, f), t in zip(_cleaners(o).items(), texts, strict=True)}
+    reason = None
+    if not o.keep_metadata and any(map(R.reads_like_metadata, clean.values())):
+        reason = "metadata"
+    elif not o.keep_leakage and R.has_darija_marker(clean["modern_standard_arabic"]):
+        reason = "leakage"
+    elif bad_status:
+        reason = "status"
+    elif not all(clean.values()):
+        reason = "empty"
+    if not full:
+        return {"drop_reason": reason}
+    placed = {c: R.replace_placeholders(t, c) for c, t in clean.items()}
+    single = {c: R.drop_repeats(t) for c, (t, _) in placed.items()}
+    if reason is None:
+        clean = {c: t for c, (t, _) in single.items()}
+    counts = {"placeholders_removed": sum(n for _, n in placed.values()), "repeats_removed": sum(n for _, n in single.values())}
+    return clean | counts | {"drop_reason": reason, "english_word_count": len(clean["english"].split())}
+
+
+def _changed_row(o: CleaningOptions, texts, _bad_status: bool) -> dict:
+    """Of one row, whether each text is another one after it was cleaned."""
+    return {c: R.collapse(t or "") != f(R.loosened(t or "", o.html_entities)) for (c, f), t in zip(_cleaners(o).items(), texts, strict=True)}
+
+
+_TYPES = {c: "string" for c in (*L.TARGETS, "drop_reason")} | {c: "int" for c in ("placeholders_removed", "repeats_removed", "english_word_count")}
+
+
+def _by_rows(of, types: dict[str, str], status: Column) -> Column:
+    """A struct of ``of`` each row's four texts and its status."""
+    schema = pa.struct([(c, {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}[t]) for c, t in types.items()])
+
+    def run(*arrays: pa.Array) -> pa.Array:
+        done = []
+        for at in range(0, len(arrays[0]), 256):  # few rows at a time are Python's
+            part = zip(*[a.slice(at, 256).to_pylist() for a in arrays], strict=True)
+            done.append(pa.array([{c: row[c] for c in types} for row in (of(texts, bad) for *texts, bad in part)], schema))
+        return pa.concat_arrays(done) if done else pa.array([], schema)
+
+    run.__annotations__ = {"arrays": pa.Array, "return": pa.Array}
+    udf = F.arrow_udf(run, ", ".join(f"{c} {t}" for c, t in types.items()))
+    return udf(*[F.col(c).cast("string") for c in L.TARGETS], status)
+
+
+def changed_cells(df: DataFrame, o: CleaningOptions = CleaningOptions()) -> DataFrame:
+    """Of each text column, whether cleaning changes the cell by more than white space."""
+    if in_rows(o):
+        flags = _by_rows(functools.partial(_changed_row, o), {c: "boolean" for c in L.TARGETS}, F.lit(False))
+        return df.select(flags.alias("changed")).select("changed.*")
+    cleaned = cleaned_columns(o)
+    return df.select(*[(X.collapse(F.col(c)) != X.collapse(cleaned[c])).alias(c) for c in L.TARGETS])
+
+
+def _bad_status(df: DataFrame, o: CleaningOptions) -> Column:
+    return F.upper(F.trim(X.as_text(F.col("status")))).isin(*o.drop_statuses) if "status" in df.columns and o.drop_statuses else F.lit(False)
+
+
+def drop_reasons(df: DataFrame, columns, o: CleaningOptions = CleaningOptions()) -> DataFrame:
+    """``columns`` of each row, and why cleaning drops it."""
+    if in_rows(o):
+        row = _by_rows(functools.partial(_cleaned_row, o, full=False), {"drop_reason": "string"}, _bad_status(df, o))
+        return df.select(*columns, row.alias("__row")).select(*columns, "__row.drop_reason")
+    df = df.withColumns(cleaned_columns(o))
+    return df.select(*columns, drop_reason(df, o).alias("drop_reason"))
+
+
 def require_text(df: DataFrame, columns=L.TARGETS) -> DataFrame:
     """The rows without a blank cell in ``columns``, which must be there."""
     require_columns(df, columns)
@@ -79,16 +166,19 @@ def drop_reason(df: DataFrame, o: CleaningOptions, lower: str = "") -> Column:
         for c in L.TARGETS:
             metadata = metadata | X.reads_like_metadata(F.col(f"{lower}{c}") if lower else F.lower(c))
     leakage = never if o.keep_leakage else X.has_darija_marker(F.col("modern_standard_arabic"))
-    status = F.upper(F.trim(X.as_text(F.col("status")))).isin(*o.drop_statuses) if "status" in df.columns and o.drop_statuses else never
+    status = _bad_status(df, o)
     empty = F.expr(" OR ".join(f"{c} = ''" for c in L.TARGETS))
     return F.when(metadata, "metadata").when(leakage, "leakage").when(status, "status").when(empty, "empty")
 
 
-def clean_corpus(df: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
+def clean_corpus(df: DataFrame, options: CleaningOptions = CleaningOptions(), texts=L.TARGETS) -> DataFrame:
     """Every row with cleaned columns, ``drop_reason``, ``placeholders_removed``, ``repeats_removed``
     and, where there is an ``english_word_count``, its new value and whether it changed. Take rows by
-    ``kept`` or ``chosen``: a filter on a computed column would compute it twice."""
+    ``kept`` or ``chosen``: a filter on a computed column would compute it twice. Of the four text
+    columns, those in ``texts`` are returned."""
     require_columns(df)
+    if in_rows(options):
+        return _clean_in_rows(df, options, texts)
     # a projection for each step, so that no step's text is computed more than once
     out = df.withColumns(cleaned_columns(options))
     out = out.withColumns({f"__low_{c}": F.lower(c) for c in L.TARGETS})
@@ -103,7 +193,20 @@ def clean_corpus(df: DataFrame, options: CleaningOptions = CleaningOptions()) ->
     if "english_word_count" in df.columns:
         before = F.coalesce(F.expr("try_cast(english_word_count as int)"), F.lit(-1))
         out = out.withColumn("word_count_changed", before != X.word_count(F.col("english"))).withColumn("english_word_count", X.word_count(F.col("english")))
-    return out.drop("qc_changed_fields", "qc_notes")
+    return out.drop("qc_changed_fields", "qc_notes", *(c for c in L.TARGETS if c not in texts))
+
+
+def _clean_in_rows(df: DataFrame, o: CleaningOptions, texts) -> DataFrame:
+    types = {c: t for c, t in _TYPES.items() if c in texts or c not in L.TARGETS}
+    row = _by_rows(functools.partial(_cleaned_row, o, full=True), types, _bad_status(df, o))
+    gone = {"qc_changed_fields", "qc_notes", "drop_reason", "placeholders_removed", "repeats_removed", "word_count_changed", *(c for c in L.TARGETS if c not in texts)}
+    new, counted = {c: F.col(f"__row.{c}") for c in types}, "english_word_count" in df.columns
+    out = [new.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns if c not in gone]
+    out += [new[c].alias(c) for c in ("drop_reason", "placeholders_removed", "repeats_removed")]
+    if counted:
+        before = F.coalesce(F.expr("try_cast(english_word_count as int)"), F.lit(-1))
+        out.append((before != new["english_word_count"]).alias("word_count_changed"))
+    return df.withColumn("__row", row).select(*out)
 
 
 def chosen(cleaned: DataFrame, keep: Column, columns) -> DataFrame:

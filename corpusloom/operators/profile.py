@@ -114,15 +114,13 @@ def compare_by_position(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def change_rates(compared: DataFrame, columns) -> DataFrame:
     """Of each column, cells that differ after white space is collapsed, and their share."""
-    flags = [(X.collapse(F.col(f"source_{c}")) != X.collapse(F.col(f"cleaned_{c}"))).cast("int").alias(c) for c in columns]
-    cells = unpivot(compared.select(*flags), columns, "column", "changed")
-    return cells.groupBy("column").agg(F.sum("changed").alias("changed_rows"), F.count("*").alias("compared_rows"), F.round(100.0 * F.sum("changed") / F.count("*"), 2).alias("change_rate"))
+    return changed_shares(compared.select(*[(X.collapse(F.col(f"source_{c}")) != X.collapse(F.col(f"cleaned_{c}"))).alias(c) for c in columns]))
 
 
-def change_rates_in(df: DataFrame, after: dict[str, Column]) -> DataFrame:
-    """As change_rates, where the new values come from the same rows: one projection, no join."""
-    both = df.select(*[F.col(c).alias(f"source_{c}") for c in after], *[v.alias(f"cleaned_{c}") for c, v in after.items()])
-    return change_rates(both, tuple(after))
+def changed_shares(flags: DataFrame) -> DataFrame:
+    """Of each boolean column, how many rows it holds for, and their share."""
+    cells = unpivot(flags.select(*[F.col(c).cast("int").alias(c) for c in flags.columns]), flags.columns, "column", "changed")
+    return cells.groupBy("column").agg(F.sum("changed").alias("changed_rows"), F.count("*").alias("compared_rows"), F.round(100.0 * F.sum("changed") / F.count("*"), 2).alias("change_rate"))
 
 
 def outer_counts(left: DataFrame, right: DataFrame) -> DataFrame:
