@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -70,8 +71,19 @@ def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: html.unescape(t) if t and "&" in t else t)
 
 
-def unescape_html(c: Column) -> Column:
-    return _unescape(as_text(c))
+_CLOSED = re.compile("&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[0-9A-Za-z]+);")
+
+
+@F.pandas_udf(T.StringType())
+def _unescape_closed(texts: pd.Series) -> pd.Series:
+    known = lambda m: html.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0]
+    return texts.map(lambda t: _CLOSED.sub(known, t) if t and "&" in t else t)
+
+
+def unescape_html(c: Column, closed: bool = False) -> Column:
+    """As browsers read it, ``&amp`` too; with ``closed``, only references that end in a semicolon, so
+    that what a page's cut has left of one stays."""
+    return _unescape_closed(as_text(c)) if closed else _unescape(as_text(c))
 
 
 def strip_tags(c: Column) -> Column:

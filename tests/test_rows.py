@@ -1,10 +1,12 @@
 """Cleaning in Python rows: the results of the expressions, without Java's regular expressions."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from corpusloom import lexicon as L
 from corpusloom.functions import rows as R
+from corpusloom.functions import text as X
 from corpusloom.operators import cleaning, profile
 
 ODD = [
@@ -55,6 +57,11 @@ def test_texts_are_cleaned_without_regular_expressions_of_java(spark, name):
     assert "regexp_replace" not in plan and "RLIKE" not in plan and "translate(lower" in plan
 
 
+def test_closed_references_alone(spark):
+    row = spark.createDataFrame([("a &amp; b &amp c &#233; &ampx; &nope; &quot",)], "t string").select(X.unescape_html(F.col("t"), closed=True)).first()
+    assert row[0] == "a & b &amp c é &ampx; &nope; &quot"
+
+
 def test_shares_of_changed_cells(spark):
     flags = spark.createDataFrame([(True, False), (False, False), (True, False)], "a boolean, b boolean")
     assert {tuple(r) for r in profile.changed_shares(flags).collect()} == {("a", 2, 3, 66.67), ("b", 0, 3, 0.0)}
