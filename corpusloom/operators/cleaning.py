@@ -103,8 +103,10 @@ def _cleaned_row(o: CleaningOptions, texts, bad_status: bool, full: bool) -> dic
 
 
 def _changed_row(o: CleaningOptions, texts, _bad_status: bool) -> dict:
-    """Of one row, whether each text is another one after it was cleaned."""
-    return {c: R.collapse(t or "") != f(R.loosened(t or "", o.html_entities)) for (c, f), t in zip(_cleaners(o).items(), texts, strict=True)}
+    """Of one row, whether each text is another one after it was cleaned. No cleaned text has a full stop
+    or a comma, so that a text with one need not be cleaned to tell."""
+    changed = lambda t, f: "." in t or "," in t or R.collapse(t) != f(R.loosened(t, o.html_entities))
+    return {c: changed(t or "", f) for (c, f), t in zip(_cleaners(o).items(), texts, strict=True)}
 
 
 _TYPES = {c: "string" for c in (*L.TARGETS, "drop_reason")} | {c: "int" for c in ("placeholders_removed", "repeats_removed", "english_word_count")}
