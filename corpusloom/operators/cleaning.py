@@ -6,12 +6,14 @@ import functools
 import warnings
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import lexicon as L
 from corpusloom.functions import arabic as A
+from corpusloom.functions import batches as B
 from corpusloom.functions import rows as R
 from corpusloom.functions import text as X
 
@@ -102,6 +104,49 @@ def _cleaned_row(o: CleaningOptions, texts, bad_status: bool, full: bool) -> dic
     return clean | counts | {"drop_reason": reason, "english_word_count": len(clean["english"].split())}
 
 
+@functools.lru_cache(maxsize=8)
+def _lookups(o: CleaningOptions) -> dict | None:
+    """The stop words for ``batches``, unless a list is too long for it."""
+    lists = {
+        "darija_arabic": B.coded(A.normalized_words(o.darija_stopwords, fold=True), True),
+        "darija_arabizi": B.coded(o.arabizi_stopwords, False),
+        "english": B.coded(o.english_stopwords, False),
+        "modern_standard_arabic": B.coded(A.normalized_words(o.msa_stopwords, fold=False), True),
+    }
+    return {c: B.Lookup(words) for c, words in lists.items()} if all(map(B.short, lists.values())) else None
+
+
+_REASONS = np.array([None, "metadata", "leakage", "status", "empty"], object)
+
+
+def _cleaned_batch(o: CleaningOptions, types: dict[str, str], texts, bad_status: pa.Array) -> list[pa.Array]:
+    """Of some rows at once, what _cleaned_row returns of each."""
+    clean = B.columns(dict(zip(L.TARGETS, texts, strict=True)), _lookups(o), o.html_entities, o.arabizi_most_repeats, not o.arabizi_drop_vowels)
+    reason = np.zeros(len(bad_status), np.int8)
+    for c in clean.values():  # the first reason is written last
+        reason[np.diff(c.ends) == 1] = 4
+    reason[bad_status.fill_null(False).to_numpy(zero_copy_only=False)] = 3
+    if not o.keep_leakage:
+        reason[clean["modern_standard_arabic"].marked] = 2
+    if not o.keep_metadata:
+        for c in clean.values():
+            reason[c.metadata()] = 1
+    out = {"drop_reason": pa.array(_REASONS[reason], pa.string())}
+    if len(types) > 1:
+        stays = reason == 0
+        placeholders, repeats, words = (np.zeros(len(reason), np.int32), np.zeros(len(reason), np.int32), clean["english"].word_counts.astype(np.int32))
+        for c, column in clean.items():
+            new = column.less(placeholders, repeats)
+            if c == "english":
+                words -= np.where(stays, np.bincount(column.repeat_rows, minlength=len(words)), 0).astype(np.int32)
+                for r in new:
+                    words[r] = len((new[r] if stays[r] else column.text(r)).split())
+            if c in types:
+                out[c] = column.final(new, stays)
+        out |= {"placeholders_removed": pa.array(placeholders), "repeats_removed": pa.array(repeats), "english_word_count": pa.array(words)}
+    return [out[c] for c in types]
+
+
 def _changed_row(o: CleaningOptions, texts, _bad_status: bool) -> dict:
     """Of one row, whether each text is another one after it was cleaned. No cleaned text has a full stop
     or a comma, so that a text with one need not be cleaned to tell."""
@@ -112,14 +157,19 @@ def _changed_row(o: CleaningOptions, texts, _bad_status: bool) -> dict:
 _TYPES = {c: "string" for c in (*L.TARGETS, "drop_reason")} | {c: "int" for c in ("placeholders_removed", "repeats_removed", "english_word_count")}
 
 
-def _by_rows(of, types: dict[str, str], status: Column) -> Column:
-    """A struct of ``of`` each row's four texts and its status."""
+def _by_rows(of, types: dict[str, str], status: Column, batch=None) -> Column:
+    """A struct of ``of`` each row's four texts and its status; ``batch``, if given, has the arrays of
+    many rows at once."""
     schema = pa.struct([(c, {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}[t]) for c, t in types.items()])
 
     def run(*arrays: pa.Array) -> pa.Array:
         done = []
         for at in range(0, len(arrays[0]), 256):  # few rows at a time are Python's
-            part = zip(*[a.slice(at, 256).to_pylist() for a in arrays], strict=True)
+            *texts, bad = [a.slice(at, 256) for a in arrays]
+            if batch:
+                done.append(pa.StructArray.from_arrays(batch(texts, bad), fields=list(schema)))
+                continue
+            part = zip(*[a.to_pylist() for a in (*texts, bad)], strict=True)
             done.append(pa.array([{c: row[c] for c in types} for row in (of(texts, bad) for *texts, bad in part)], schema))
         return pa.concat_arrays(done) if done else pa.array([], schema)
 
@@ -141,10 +191,15 @@ def _bad_status(df: DataFrame, o: CleaningOptions) -> Column:
     return F.upper(F.trim(X.as_text(F.col("status")))).isin(*o.drop_statuses) if "status" in df.columns and o.drop_statuses else F.lit(False)
 
 
+def _cleaning(df: DataFrame, o: CleaningOptions, types: dict[str, str]) -> Column:
+    batch = functools.partial(_cleaned_batch, o, types) if _lookups(o) else None
+    return _by_rows(functools.partial(_cleaned_row, o, full=len(types) > 1), types, _bad_status(df, o), batch)
+
+
 def drop_reasons(df: DataFrame, columns, o: CleaningOptions = CleaningOptions()) -> DataFrame:
     """``columns`` of each row, and why cleaning drops it."""
     if in_rows(o):
-        row = _by_rows(functools.partial(_cleaned_row, o, full=False), {"drop_reason": "string"}, _bad_status(df, o))
+        row = _cleaning(df, o, {"drop_reason": "string"})
         return df.select(*columns, row.alias("__row")).select(*columns, "__row.drop_reason")
     df = df.withColumns(cleaned_columns(o))
     return df.select(*columns, drop_reason(df, o).alias("drop_reason"))
@@ -200,7 +255,7 @@ def clean_corpus(df: DataFrame, options: CleaningOptions = CleaningOptions(), te
 
 def _clean_in_rows(df: DataFrame, o: CleaningOptions, texts) -> DataFrame:
     types = {c: t for c, t in _TYPES.items() if c in texts or c not in L.TARGETS}
-    row = _by_rows(functools.partial(_cleaned_row, o, full=True), types, _bad_status(df, o))
+    row = _cleaning(df, o, types)
     gone = {"qc_changed_fields", "qc_notes", "drop_reason", "placeholders_removed", "repeats_removed", "word_count_changed", *(c for c in L.TARGETS if c not in texts)}
     new, counted = {c: F.col(f"__row.{c}") for c in types}, "english_word_count" in df.columns
     out = [new.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns if c not in gone]
